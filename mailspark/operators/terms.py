@@ -31,24 +31,28 @@ def doc_tokens(docs: DataFrame, cfg: VectorizerConfig, text_col: str = "text", k
     return out
 
 
-def count_tokens(tokens: DataFrame, keep=("doc_id", "label")) -> DataFrame:
+def count_tokens(tokens: DataFrame, keep=("doc_id", "label"), outer: bool = False) -> DataFrame:
     """A1 from a token-array frame: ``keep + (term, f)``, one row per
-    distinct term of each document; documents without tokens give no row."""
+    distinct term of each document. Documents without tokens give no row,
+    or with ``outer`` one row with NULL term and f (kept for scoring, F5)."""
     keep = [c for c in keep if c in tokens.columns]
     sorted_ = tokens.select(*keep, F.array_sort("tokens").alias("_s"))
     with_starts = sorted_.select(*keep, "_s", run_starts("_s").alias("_st"))
-    pairs = with_starts.select(*keep, F.explode(run_counts("_s", "_st")).alias("_p"))
+    explode = F.explode_outer if outer else F.explode
+    pairs = with_starts.select(*keep, explode(run_counts("_s", "_st")).alias("_p"))
     return pairs.select(*keep, F.col("_p.term").alias("term"), F.col("_p.f").alias("f"))
 
 
-def doc_term_counts(docs: DataFrame, cfg: VectorizerConfig, text_col: str = "text", keep=("doc_id", "label")) -> DataFrame:
+def doc_term_counts(
+    docs: DataFrame, cfg: VectorizerConfig, text_col: str = "text", keep=("doc_id", "label"), outer: bool = False
+) -> DataFrame:
     """A1: ``(doc_id, label, term, f)`` under the tokenizer / stemmer /
-    stopword settings of ``cfg``."""
-    counts = count_tokens(doc_tokens(docs, cfg, text_col, keep), keep)
+    stopword settings of ``cfg``; ``outer`` keeps token-less documents."""
+    counts = count_tokens(doc_tokens(docs, cfg, text_col, keep), keep, outer)
     if cfg.stemmer != "none":
         from mailspark.operators.stemming import stem_counts
 
-        counts = stem_counts(counts, cfg, keep=[c for c in keep if c in counts.columns])
+        counts = stem_counts(counts, cfg, keep=[c for c in keep if c in counts.columns], outer=outer)
     return counts
 
 

@@ -13,6 +13,8 @@ from mailspark.functions import text as T
 from mailspark.functions.tokens import ngram12_tokens, word_tokens
 from mailspark.operators import split as S
 from mailspark.operators import terms as TM
+from mailspark.operators import evaluate as EV
+from mailspark.operators import model as M
 from mailspark.operators import vocab as V
 from mailspark.plans import sql_text as Q
 from mailspark.sources.tables import labelled_docs, table
@@ -194,6 +196,113 @@ def q_stratified_folds(spark, sf):
     return S.assign_folds(sp).select("doc_id", "label", "fold")
 
 
+# ------------------------------------------------------ 2.7 / 2.8 model, score
+FIXTURE_K = 100
+FIXTURE_INTERCEPT = -1.0
+
+
+def _split_parts(spark, sf):
+    parts = S.stratified_split(labelled_docs(spark, sf).select("doc_id", "text", "label"))
+    train = parts.filter(F.col("part") == "train").select("doc_id", "text", "label")
+    test = parts.filter(F.col("part") == "test").select("doc_id", "text", "label")
+    return train, test
+
+
+def q_transform_holdout(spark, sf):
+    """V7: vocabulary, N and df fitted on the train part, applied to the
+    test part."""
+    train, test = _split_parts(spark, sf)
+    cfg = VectorizerConfig(words_to_keep=K_DEFAULT)
+    vocab = V.fit_vocabulary(TM.doc_term_counts(train, cfg), train.count(), cfg)
+    return V.transform(TM.doc_term_counts(test, cfg), vocab).select("doc_id", "term", _r(F.col("weight"), "weight"))
+
+
+def _fixture_model(spark, sf):
+    """A frozen, data-derived model for SQL-checkable scoring: the TF-IDF
+    vocabulary (K=100) of the train part with coefficient
+    ``ln((c_spam + 1) / (c_ham + 1))`` and intercept -1. It stands in for a
+    trained model so that M4 and the metrics can be checked exactly."""
+    train, test = _split_parts(spark, sf)
+    cfg = VectorizerConfig(words_to_keep=FIXTURE_K)
+    counts = TM.doc_term_counts(train, cfg)
+    stats = TM.class_term_stats(counts)
+    vocab = V.fit_vocabulary(counts, train.count(), cfg, stats=stats)
+    ratio = stats.groupBy("term").agg(
+        F.round(
+            F.log(
+                (F.coalesce(F.sum(F.when(F.col("label") == T.SPAM, F.col("c"))), F.lit(0)) + F.lit(1.0))
+                / (F.coalesce(F.sum(F.when(F.col("label") == T.HAM, F.col("c"))), F.lit(0)) + F.lit(1.0))
+            ),
+            6,
+        ).alias("coef")
+    )
+    terms = vocab.table.join(ratio, "term").select(
+        "term", F.log(F.col("n_train").cast("double") / F.col("df").cast("double")).alias("idf"), "coef"
+    )
+    return terms, test, cfg
+
+
+def _fixture_predictions(spark, sf):
+    terms, test, cfg = _fixture_model(spark, sf)
+    counts = TM.doc_term_counts(test, cfg, outer=True)
+    return M.score_counts(counts, F.broadcast(terms), FIXTURE_INTERCEPT, cfg.weighting, keep=("doc_id", "label"))
+
+
+def q_score_docs(spark, sf):
+    p = _fixture_predictions(spark, sf)
+    return p.select("doc_id", "label", _r(F.col("margin"), "margin"), _r(F.col("probability"), "probability"), "prediction")
+
+
+def q_confusion_matrix(spark, sf):
+    return EV.confusion_matrix(_fixture_predictions(spark, sf))
+
+
+def q_quality_report(spark, sf):
+    return EV.quality_report(_fixture_predictions(spark, sf)).select("class", "metric", _r(F.col("value"), "value"))
+
+
+def q_prediction_lines(spark, sf):
+    """``<label>, "<file name>"`` per scored document."""
+    p = _fixture_predictions(spark, sf)
+    names = table(spark, sf, "documents").select("doc_id", _file_name_expr().alias("file_name"))
+    return p.join(names, "doc_id").select("doc_id", T.prediction_line("prediction", "file_name").alias("line"))
+
+
+def q_holdout_quality(spark, sf):
+    """M6 with the reference's preset settings apart from the stemmer and
+    stopwords (K=1000, TF-IDF, ridge 10)."""
+    from mailspark.plans.train import holdout_quality
+
+    rep = holdout_quality(labelled_docs(spark, sf), VectorizerConfig(words_to_keep=K_DEFAULT), ridge=10.0)
+    return rep.select("class", "metric", _r(F.col("value"), "value"))
+
+
+def q_train_model(spark, sf):
+    """M3: refit on all labelled docs; the model term table."""
+    from mailspark.plans.train import train_final
+
+    m = train_final(labelled_docs(spark, sf), VectorizerConfig(words_to_keep=K_DEFAULT), ridge=10.0)
+    return m.terms.select("term", "idx", _r(F.col("idf"), "idf"), _r(F.col("coef"), "coef"))
+
+
+SMALL_GRID = dict(vectorizers=("BINARY", "TF_IDF"), words_to_keep=(1000,), ridges=(1e-2, 10.0), n_folds=3)
+
+
+def q_grid_search(spark, sf):
+    """M8 on a small grid (the full 96-point grid is the GridSpec default)."""
+    from mailspark.config import GridSpec
+    from mailspark.plans.tune import grid_search
+
+    g = grid_search(labelled_docs(spark, sf), GridSpec(**SMALL_GRID))
+    return g.select("vectorizer", "vec_ord", "k", "ridge", "vocab_size", _r(F.col("f_spam"), "f_spam"))
+
+
+def q_best_config(spark, sf):
+    from mailspark.plans.tune import best_config
+
+    return best_config(q_grid_search(spark, sf))
+
+
 # ---------------------------------------------------------------- registry
 def spark_queries():
     return {
@@ -223,6 +332,15 @@ def spark_queries():
         "seeded_order": q_seeded_order,
         "stratified_split": q_stratified_split,
         "stratified_folds": q_stratified_folds,
+        "transform_holdout": q_transform_holdout,
+        "score_docs": q_score_docs,
+        "confusion_matrix": q_confusion_matrix,
+        "quality_report": q_quality_report,
+        "prediction_lines": q_prediction_lines,
+        "holdout_quality": q_holdout_quality,
+        "train_model": q_train_model,
+        "grid_search": q_grid_search,
+        "best_config": q_best_config,
     }
 
 
@@ -246,12 +364,65 @@ def _weights_sql(kind: str, k: int = K_DEFAULT) -> str:
 def oracle_sql():
     stratum = "CASE WHEN label = 'ham' THEN 'ham' ELSE 'spam' END"
     ranked = (
-        f"rk AS (SELECT doc_id, label, {stratum} AS stratum, md5('12345:' || CAST(doc_id AS VARCHAR)) AS h, "
+        f"rk AS (SELECT doc_id, text, label, {stratum} AS stratum, md5('12345:' || CAST(doc_id AS VARCHAR)) AS h, "
         f"row_number() OVER (PARTITION BY {stratum} ORDER BY md5('12345:' || CAST(doc_id AS VARCHAR)), doc_id) AS rank FROM ld)"
     )
     sizes = "sz AS (SELECT stratum, floor(count(*) * 0.8 + 0.5) AS n_train FROM rk GROUP BY stratum)"
     split = "sp AS (SELECT rk.*, CASE WHEN rank <= sz.n_train THEN 'train' ELSE 'test' END AS part FROM rk JOIN sz USING (stratum))"
+    holdout = _with(
+        _ld(), ranked, sizes, split,
+        "tr AS (SELECT doc_id, text, label FROM sp WHERE part = 'train')",
+        "te AS (SELECT doc_id, text, label FROM sp WHERE part = 'test')",
+    )
+    fixture = holdout[:-1] + ", " + ", ".join([
+        Q.term_counts_cte(src="tr"),
+        Q.vocab_cte(FIXTURE_K, "tc", "(SELECT count(*) FROM tr)"),
+        "mt AS (SELECT vocab.term, ln(vocab.n_train::DOUBLE / vocab.df) AS idf, "
+        "round(ln((coalesce(sum(CASE WHEN st.label = 'spam' THEN st.c END), 0) + 1.0) / "
+        "(coalesce(sum(CASE WHEN st.label = 'ham' THEN st.c END), 0) + 1.0)), 6) AS coef "
+        "FROM vocab JOIN st ON vocab.term = st.term GROUP BY vocab.term, vocab.n_train, vocab.df)",
+        Q.term_counts_cte(src="te", prefix="x"),
+        f"sc AS (SELECT te.doc_id, te.label, {FIXTURE_INTERCEPT} + coalesce(sum(ln(1 + xtc.f) * mt.idf * mt.coef), 0) AS margin "
+        "FROM te LEFT JOIN xtc ON te.doc_id = xtc.doc_id LEFT JOIN mt ON xtc.term = mt.term GROUP BY te.doc_id, te.label)",
+        "pr AS (SELECT doc_id, label, margin, 1 / (1 + exp(-margin)) AS probability, "
+        "CASE WHEN 1 / (1 + exp(-margin)) > 0.5 THEN 'spam' ELSE 'ham' END AS prediction FROM sc)",
+        "cm AS (SELECT g.label, g.prediction, count(pr.doc_id)::BIGINT AS n FROM "
+        "(SELECT * FROM (VALUES ('ham'), ('spam')) a(label), (VALUES ('ham'), ('spam')) b(prediction)) g "
+        "LEFT JOIN pr ON g.label = pr.label AND g.prediction = pr.prediction GROUP BY g.label, g.prediction)",
+        "cl AS (SELECT sum(CASE WHEN label = 'ham' AND prediction = 'ham' THEN n ELSE 0 END)::DOUBLE AS hh, "
+        "sum(CASE WHEN label = 'ham' AND prediction = 'spam' THEN n ELSE 0 END)::DOUBLE AS hs, "
+        "sum(CASE WHEN label = 'spam' AND prediction = 'ham' THEN n ELSE 0 END)::DOUBLE AS sh, "
+        "sum(CASE WHEN label = 'spam' AND prediction = 'spam' THEN n ELSE 0 END)::DOUBLE AS ss FROM cm)",
+        "mx AS (SELECT *, hh + hs + sh + ss AS tot, "
+        "CASE WHEN hh + sh <> 0 THEN hh / (hh + sh) END AS p_h, CASE WHEN hh + hs <> 0 THEN hh / (hh + hs) END AS r_h, "
+        "CASE WHEN ss + hs <> 0 THEN ss / (ss + hs) END AS p_s, CASE WHEN ss + sh <> 0 THEN ss / (ss + sh) END AS r_s FROM cl)",
+        "my AS (SELECT *, CASE WHEN p_h + r_h <> 0 THEN 2 * p_h * r_h / (p_h + r_h) END AS f_h, "
+        "CASE WHEN p_s + r_s <> 0 THEN 2 * p_s * r_s / (p_s + r_s) END AS f_s, "
+        "CASE WHEN tot <> 0 THEN (hh + ss) / tot END AS po, "
+        "CASE WHEN tot <> 0 THEN ((hh + hs) * (hh + sh) + (sh + ss) * (hs + ss)) / (tot * tot) END AS pe FROM mx)",
+    ]) + " "
+    quality = fixture + (
+        "SELECT NULL::VARCHAR AS class, 'accuracy' AS metric, round(100.0 * po, 6) AS value FROM my UNION ALL "
+        "SELECT NULL, 'kappa', round(CASE WHEN 1 - pe <> 0 THEN (po - pe) / (1 - pe) END, 6) FROM my UNION ALL "
+        "SELECT NULL, 'weighted_f', round(CASE WHEN tot <> 0 THEN ((hh + hs) * coalesce(f_h, 0) + (sh + ss) * coalesce(f_s, 0)) / tot END, 6) FROM my UNION ALL "
+        "SELECT 'ham', 'precision', round(p_h, 6) FROM my UNION ALL SELECT 'ham', 'recall', round(r_h, 6) FROM my UNION ALL "
+        "SELECT 'ham', 'f', round(f_h, 6) FROM my UNION ALL SELECT 'spam', 'precision', round(p_s, 6) FROM my UNION ALL "
+        "SELECT 'spam', 'recall', round(r_s, 6) FROM my UNION ALL SELECT 'spam', 'f', round(f_s, 6) FROM my"
+    )
+    transform_holdout = holdout[:-1] + ", " + ", ".join([
+        Q.term_counts_cte(src="tr"),
+        Q.vocab_cte(K_DEFAULT, "tc", "(SELECT count(*) FROM tr)"),
+        Q.term_counts_cte(src="te", prefix="x"),
+    ]) + (
+        f" SELECT xtc.doc_id, xtc.term, round({Q.weight_sql('TF_IDF', 'xtc.f', 'vocab.df', 'vocab.n_train')}, 6) AS weight "
+        "FROM xtc JOIN vocab ON xtc.term = vocab.term"
+    )
     return {
+        "transform_holdout": transform_holdout,
+        "score_docs": fixture + "SELECT doc_id, label, round(margin, 6) AS margin, round(probability, 6) AS probability, prediction FROM pr",
+        "confusion_matrix": fixture + "SELECT label, prediction, n FROM cm",
+        "quality_report": quality,
+        "prediction_lines": fixture + f"SELECT pr.doc_id, pr.prediction || ', \"' || nm.file_name || '\"' AS line FROM pr JOIN (SELECT doc_id, {_file_name_sql()} AS file_name FROM documents) nm ON pr.doc_id = nm.doc_id",
         "clean_text": f"SELECT doc_id, {Q.clean_text('text')} AS clean FROM documents",
         "clean_conversations": f"SELECT conv_id, turn, {Q.clean_text('text')} AS clean FROM conversations",
         "strip_emails": f"SELECT doc_id, {Q.strip_emails('text')} AS out FROM documents",

@@ -57,20 +57,22 @@ LABELLED = (
 )
 
 
-def term_counts_cte(bigrams: bool = False, stopwords=None, src: str = "ld") -> str:
-    """CTEs ``tk`` (doc_id, label, tokens) and ``tc`` (doc_id, label, term, f)."""
+def term_counts_cte(bigrams: bool = False, stopwords=None, src: str = "ld", prefix: str = "") -> str:
+    """CTEs ``tk`` (doc_id, label, tokens) and ``tc`` (doc_id, label, term, f),
+    names prefixed by ``prefix``."""
     toks = word_tokens(clean_text("text"))
     if stopwords:
         lst = ", ".join(q(w) for w in stopwords)
         toks = f"list_filter({toks}, lambda w: NOT list_contains([{lst}], w))"
-    tk = f"tk0 AS (SELECT doc_id, label, {toks} AS tokens FROM {src})"
+    p = prefix
+    tk = f"{p}tk0 AS (SELECT doc_id, label, {toks} AS tokens FROM {src})"
     if bigrams:
-        tk += f", tk AS (SELECT doc_id, label, {ngram12('tokens')} AS tokens FROM tk0)"
+        tk += f", {p}tk AS (SELECT doc_id, label, {ngram12('tokens')} AS tokens FROM {p}tk0)"
     else:
-        tk += ", tk AS (SELECT * FROM tk0)"
+        tk += f", {p}tk AS (SELECT * FROM {p}tk0)"
     return (
-        tk + ", tc AS (SELECT doc_id, label, term, count(*)::BIGINT AS f FROM "
-        "(SELECT doc_id, label, unnest(tokens) AS term FROM tk) GROUP BY doc_id, label, term)"
+        tk + f", {p}tc AS (SELECT doc_id, label, term, count(*)::BIGINT AS f FROM "
+        f"(SELECT doc_id, label, unnest(tokens) AS term FROM {p}tk) GROUP BY doc_id, label, term)"
     )
 
 

@@ -17,7 +17,7 @@ from mailspark.operators import evaluate as EV
 from mailspark.operators import model as M
 from mailspark.operators import vocab as V
 from mailspark.plans import sql_text as Q
-from mailspark.sources.tables import labelled_docs, table
+from mailspark.sources.tables import documents, labelled_docs, spread, table
 
 K_DEFAULT = 1000
 
@@ -28,20 +28,20 @@ def _r(c, name):
 
 # ---------------------------------------------------------------- 2.3 scalars
 def q_clean_text(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", T.clean_text("text").alias("clean"))
+    return documents(spark, sf, "doc_id", "text").select("doc_id", T.clean_text("text").alias("clean"))
 
 
 def q_strip_emails(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.strip_emails("text").alias("out"))
+    return documents(spark, sf, "doc_id", "text").select("doc_id", T.strip_emails("text").alias("out"))
 
 
 def q_strip_urls(spark, sf):
     src = F.concat_ws(" ", "url", "html")
-    return table(spark, sf, "pages").select("page_id", T.strip_urls(src).alias("out"))
+    return spread(table(spark, sf, "pages"), "page_id").select("page_id", T.strip_urls(src).alias("out"))
 
 
 def q_strip_numbers(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.strip_numbers("text").alias("out"))
+    return documents(spark, sf, "doc_id", "text").select("doc_id", T.strip_numbers("text").alias("out"))
 
 
 def q_keep_alphabet(spark, sf):
@@ -108,7 +108,7 @@ def q_read_labelled_docs(spark, sf):
 def _doc_token_arrays(spark, sf):
     # tokens are materialised as a column first so the n-gram lambdas read
     # the array instead of re-running the cleaner per element
-    return table(spark, sf, "documents").select("doc_id", word_tokens(T.clean_text("text")).alias("t"))
+    return documents(spark, sf, "doc_id", "text").select("doc_id", word_tokens(T.clean_text("text")).alias("t"))
 
 
 def q_word_tokens(spark, sf):
@@ -143,7 +143,7 @@ def q_class_topk_vocab(spark, sf, k=100):
 
 def _fit(spark, sf, cfg):
     docs = labelled_docs(spark, sf)
-    counts = TM.doc_term_counts(docs, cfg)
+    counts = TM.doc_term_counts(docs, cfg).persist()
     vocab = V.fit_vocabulary(counts, docs.count(), cfg)
     return counts, vocab
 
@@ -467,4 +467,5 @@ def oracle_sql():
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return q_weights_tfidf(spark, sf)
+    """Hold-out quality report (M6) of TF-IDF, K=1000, ridge 10."""
+    return q_holdout_quality(spark, sf)

@@ -17,9 +17,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when the scan gives fewer partitions
+    than the cluster has cores (e.g. one large Parquet row group), so the
+    text work that follows runs on every core; a later join or group-by on
+    ``key`` reuses this partitioning. Well-split inputs are left as they are
+    (no extra shuffle at scale)."""
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        return df.repartition(key)
+    return df
+
+
+def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """The ``documents`` table with only ``cols`` read, spread on doc_id."""
+    return spread(table(spark, sf_dir, "documents").select(*(cols or ("doc_id", "text"))), "doc_id")
+
+
 def labelled_docs(spark: SparkSession, sf_dir: str, label_col: str = "toxic") -> DataFrame:
     """``(doc_id BIGINT, text STRING, label STRING)`` for every labelled doc."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir, "doc_id", "text")
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.when(F.col(label_col) == 1, F.lit(SPAM)).otherwise(F.lit(HAM)).alias("label")
     )

@@ -193,7 +193,7 @@ def q_stratified_split(spark, sf):
 
 def q_stratified_folds(spark, sf):
     sp = S.stratified_split(labelled_docs(spark, sf).select("doc_id", "label")).filter(F.col("part") == "train")
-    return S.assign_folds(sp).select("doc_id", "label", "fold")
+    return sp.select("doc_id", "label").join(S.train_folds(sp), "doc_id")
 
 
 # ------------------------------------------------------ 2.7 / 2.8 model, score
@@ -268,6 +268,35 @@ def q_prediction_lines(spark, sf):
     return p.join(names, "doc_id").select("doc_id", T.prediction_line("prediction", "file_name").alias("line"))
 
 
+def q_score_stream(spark, sf):
+    """ST1: the fixture-model scoring of the test part as a Structured
+    Streaming query (Parquet file source, stream-static join to the test
+    ids, foreachBatch scorer, availableNow trigger); must equal the batch
+    result of ``score_docs``."""
+    from mailspark.operators.model import TextModel
+    from mailspark.session import scratch_table_path
+    from mailspark.streaming.score_stream import start_scoring
+
+    terms, test, cfg = _fixture_model(spark, sf)
+    terms = terms.cache()
+    model = TextModel(terms, FIXTURE_INTERCEPT, 0, 0.0, cfg, terms.count())
+    test_ids = test.select("doc_id", "label").cache()
+    schema = table(spark, sf, "documents").schema
+    stream = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "documents.parquet")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(sf)
+        .select("doc_id", "text")
+        .join(test_ids, "doc_id")
+    )
+    out = scratch_table_path(spark, "score-stream")
+    q = start_scoring(stream, model, out, keep=("doc_id", "label"), available_now=True)
+    q.awaitTermination()
+    res = spark.read.parquet(out)
+    return res.select("doc_id", "label", _r(F.col("margin"), "margin"), _r(F.col("probability"), "probability"), "prediction")
+
+
 def q_holdout_quality(spark, sf):
     """M6 with the reference's preset settings apart from the stemmer and
     stopwords (K=1000, TF-IDF, ridge 10)."""
@@ -337,6 +366,7 @@ def spark_queries():
         "confusion_matrix": q_confusion_matrix,
         "quality_report": q_quality_report,
         "prediction_lines": q_prediction_lines,
+        "score_stream": q_score_stream,
         "holdout_quality": q_holdout_quality,
         "train_model": q_train_model,
         "grid_search": q_grid_search,
@@ -420,6 +450,7 @@ def oracle_sql():
     return {
         "transform_holdout": transform_holdout,
         "score_docs": fixture + "SELECT doc_id, label, round(margin, 6) AS margin, round(probability, 6) AS probability, prediction FROM pr",
+        "score_stream": fixture + "SELECT doc_id, label, round(margin, 6) AS margin, round(probability, 6) AS probability, prediction FROM pr",
         "confusion_matrix": fixture + "SELECT label, prediction, n FROM cm",
         "quality_report": quality,
         "prediction_lines": fixture + f"SELECT pr.doc_id, pr.prediction || ', \"' || nm.file_name || '\"' AS line FROM pr JOIN (SELECT doc_id, {_file_name_sql()} AS file_name FROM documents) nm ON pr.doc_id = nm.doc_id",

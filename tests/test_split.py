@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mailspark.operators.ranking import bucketed_row_number, seeded_hash
-from mailspark.operators.split import assign_folds, stratified_split
+from mailspark.operators.split import seeded_rank, stratified_split, train_folds
 from mailspark.sources.tables import labelled_docs
 
 
@@ -28,9 +28,18 @@ def test_bucketed_equals_plain(spark):
 def test_folds_stratified(spark):
     d = labelled_docs(spark, "/root/testdata/sf0.01").select("doc_id", "label")
     tr = stratified_split(d).filter(F.col("part") == "train")
-    f = assign_folds(tr, 10)
+    f = tr.join(train_folds(tr, 10), "doc_id")
     per = f.groupBy("label", "fold").count().collect()
     for lab in ("ham", "spam"):
         sizes = [r["count"] for r in per if r["label"] == lab]
         assert max(sizes) - min(sizes) <= 1
     assert f.count() == tr.count() == f.select("doc_id").distinct().count()
+
+
+def test_threshold_split_equals_rank_split(spark):
+    d = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 7 == 0, "spam").otherwise("ham").alias("label"))
+    a = stratified_split(d).select("doc_id", "part")
+    r = seeded_rank(d)
+    n = r.groupBy("stratum").agg(F.floor(F.count("*") * 0.8 + 0.5).alias("k"))
+    b = r.join(n, "stratum").select("doc_id", F.when(F.col("rank") <= F.col("k"), "train").otherwise("test").alias("part"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

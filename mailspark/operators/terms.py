@@ -18,12 +18,11 @@ from mailspark.functions.tokens import ngram12_tokens, run_counts, run_starts, w
 
 def doc_tokens(docs: DataFrame, cfg: VectorizerConfig, text_col: str = "text", keep=("doc_id", "label")) -> DataFrame:
     """``keep`` columns + ``tokens ARRAY<STRING>`` (cleaned, tokenised,
-    optionally with 2-grams; stopwords removed in-row when no stemmer is
-    set). Stemming is applied later on distinct terms (T4)."""
+    stopwords removed in-row, optionally with 2-grams)."""
     keep = [c for c in keep if c in docs.columns]
     toks = word_tokens(clean_text(F.col(text_col)))
     out = docs.select(*keep, toks.alias("tokens"))
-    if cfg.stopwords and (cfg.stemmer == "none" or cfg.stop_before_stem):
+    if cfg.stopwords:
         stop = list(cfg.stopwords)
         out = out.withColumn("tokens", F.filter("tokens", lambda w: ~w.isin(stop)))
     if cfg.bigrams:
@@ -48,12 +47,7 @@ def doc_term_counts(
 ) -> DataFrame:
     """A1: ``(doc_id, label, term, f)`` under the tokenizer / stemmer /
     stopword settings of ``cfg``; ``outer`` keeps token-less documents."""
-    counts = count_tokens(doc_tokens(docs, cfg, text_col, keep), keep, outer)
-    if cfg.stemmer != "none":
-        from mailspark.operators.stemming import stem_counts
-
-        counts = stem_counts(counts, cfg, keep=[c for c in keep if c in counts.columns], outer=outer)
-    return counts
+    return count_tokens(doc_tokens(docs, cfg, text_col, keep), keep, outer)
 
 
 def class_term_stats(counts: DataFrame, class_col: str = "label") -> DataFrame:

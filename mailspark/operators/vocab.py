@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,22 +61,30 @@ def fit_vocabulary(train_counts: DataFrame, n_train: int, cfg: VectorizerConfig,
 
     ``n_train`` is the number of training *documents* (documents without a
     term count too). ``stats`` may pass precomputed ``(label, term, c, d)``.
-    The fitted table is small (K per class plus ties) and is cached.
+    The fitted table is small (K per class plus ties) and is cached; its
+    measured size decides between a broadcast and a shuffle join later.
     """
-    if stats is None:
-        stats = class_term_stats(train_counts)
-    terms = vocab_terms(stats, cfg.words_to_keep).cache()
+    own = stats is None
+    if own:
+        stats = class_term_stats(train_counts).persist(StorageLevel.MEMORY_AND_DISK)
+    terms = vocab_terms(stats, cfg.words_to_keep).persist(StorageLevel.MEMORY_AND_DISK)
     size = terms.count()
     df_ = stats.join(maybe_broadcast(terms, size), "term").groupBy("term").agg(F.sum("d").alias("df"))
-    indexed = bucketed_row_number(df_.withColumn("_h", F.md5("term")), [], "_h", "term", out="_rn")
+    if size <= BROADCAST_VOCAB_ROWS:
+        # a table of measured, bounded size: one sorted partition is cheapest
+        indexed = df_.withColumn("_rn", F.row_number().over(Window.orderBy("term")))
+    else:
+        indexed = bucketed_row_number(df_.withColumn("_h", F.md5("term")), [], "_h", "term", out="_rn")
     table = indexed.select(
         "term",
         (F.col("_rn") - 1).cast("int").alias("idx"),
         F.col("df").cast("long").alias("df"),
         F.lit(int(n_train)).cast("long").alias("n_train"),
-    ).cache()
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     table.count()
     terms.unpersist()
+    if own:
+        stats.unpersist()
     return Vocabulary(cfg, table, int(n_train), size)
 
 

@@ -128,6 +128,23 @@ def q_term_counts(spark, sf):
     return _counts(spark, sf)
 
 
+def q_remove_stopwords(spark, sf):
+    """T5: term counts with the stopword list applied (Spark's English list,
+    the default when the reference's list is not given)."""
+    from mailspark.config import default_stopwords
+
+    return _counts(spark, sf, VectorizerConfig(stopwords=default_stopwords()))
+
+
+def q_weights_tfidf_stop(spark, sf):
+    """V5 without the stemmer: stopwords, K=1000 per class, TF-IDF."""
+    from mailspark.config import default_stopwords
+
+    cfg = VectorizerConfig(words_to_keep=K_DEFAULT, stopwords=default_stopwords())
+    counts, vocab = _fit(spark, sf, cfg)
+    return V.transform(counts, vocab).select("doc_id", "term", _r(F.col("weight"), "weight"))
+
+
 def q_class_term_counts(spark, sf):
     return TM.class_term_stats(_counts(spark, sf)).select("label", "term", "c", "d")
 
@@ -326,6 +343,20 @@ def q_grid_search(spark, sf):
     return g.select("vectorizer", "vec_ord", "k", "ridge", "vocab_size", _r(F.col("f_spam"), "f_spam"))
 
 
+def q_cv_f_measure(spark, sf):
+    """M7: pooled 10-fold CV of the reference's chosen point (TF-IDF,
+    K=1000, ridge 10) on the train part: ``(k, ridge, vocab_size, f_spam)``."""
+    from mailspark.config import N_FOLDS
+    from mailspark.plans.tune import cross_validate
+
+    train, _ = _split_parts(spark, sf)
+    folded = train.join(S.train_folds(train, N_FOLDS), "doc_id").cache()
+    res = cross_validate(folded, VectorizerConfig(words_to_keep=K_DEFAULT), [K_DEFAULT], [10.0], N_FOLDS, 500)
+    folded.unpersist()
+    rows = [(int(k), float(r), int(v), None if f is None else round(float(f), 6)) for _, k, r, v, f in res]
+    return spark.createDataFrame(rows, "k INT, ridge DOUBLE, vocab_size BIGINT, f_spam DOUBLE")
+
+
 def q_best_config(spark, sf):
     from mailspark.plans.tune import best_config
 
@@ -349,6 +380,8 @@ def spark_queries():
         "word_tokens": q_word_tokens,
         "bigram_tokens": q_bigram_tokens,
         "term_counts": q_term_counts,
+        "remove_stopwords": q_remove_stopwords,
+        "weights_tfidf_stop": q_weights_tfidf_stop,
         "class_term_counts": q_class_term_counts,
         "doc_freq": q_doc_freq,
         "class_topk_vocab": q_class_topk_vocab,
@@ -369,6 +402,7 @@ def spark_queries():
         "score_stream": q_score_stream,
         "holdout_quality": q_holdout_quality,
         "train_model": q_train_model,
+        "cv_f_measure": q_cv_f_measure,
         "grid_search": q_grid_search,
         "best_config": q_best_config,
     }
@@ -391,6 +425,12 @@ def _weights_sql(kind: str, k: int = K_DEFAULT) -> str:
     )
 
 
+def _stop():
+    from mailspark.config import default_stopwords
+
+    return default_stopwords()
+
+
 def oracle_sql():
     stratum = "CASE WHEN label = 'ham' THEN 'ham' ELSE 'spam' END"
     ranked = (
@@ -485,6 +525,9 @@ def oracle_sql():
             "(" + _with(_ld(), Q.term_counts_cte(), Q.vocab_cte(k)) + f"SELECT CAST({k} AS INTEGER) AS k, count(*)::BIGINT AS vocab_size FROM vocab)"
             for k in (100, 250, 500, 1000)
         ),
+        "remove_stopwords": _with(_ld(), Q.term_counts_cte(stopwords=_stop())) + "SELECT doc_id, label, term, f FROM tc",
+        "weights_tfidf_stop": _with(_ld(), Q.term_counts_cte(stopwords=_stop()), Q.vocab_cte(K_DEFAULT))
+        + f"SELECT tc.doc_id, tc.term, round({Q.weight_sql('TF_IDF', 'tc.f', 'vocab.df', 'vocab.n_train')}, 6) AS weight FROM tc JOIN vocab ON tc.term = vocab.term",
         "weights_binary": _weights_sql("BINARY"),
         "weights_tf": _weights_sql("TF"),
         "weights_tfidf": _weights_sql("TF_IDF"),

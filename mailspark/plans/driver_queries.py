@@ -334,12 +334,20 @@ def q_train_model(spark, sf):
 SMALL_GRID = dict(vectorizers=("BINARY", "TF_IDF"), words_to_keep=(1000,), ridges=(1e-2, 10.0), n_folds=3)
 
 
+_GRID_MEMO: dict = {}
+
+
 def q_grid_search(spark, sf):
-    """M8 on a small grid (the full 96-point grid is the GridSpec default)."""
+    """M8 on a small grid (the full 96-point grid is the GridSpec default).
+    The small result table is kept per session and data folder, so
+    ``best_config`` does not rerun the grid."""
     from mailspark.config import GridSpec
     from mailspark.plans.tune import grid_search
 
-    g = grid_search(labelled_docs(spark, sf), GridSpec(**SMALL_GRID))
+    key = (id(spark), sf)
+    if key not in _GRID_MEMO:
+        _GRID_MEMO[key] = grid_search(labelled_docs(spark, sf), GridSpec(**SMALL_GRID)).cache()
+    g = _GRID_MEMO[key]
     return g.select("vectorizer", "vec_ord", "k", "ridge", "vocab_size", _r(F.col("f_spam"), "f_spam"))
 
 

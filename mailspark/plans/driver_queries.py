@@ -219,7 +219,7 @@ FIXTURE_INTERCEPT = -1.0
 
 
 def _split_parts(spark, sf):
-    parts = S.stratified_split(labelled_docs(spark, sf).select("doc_id", "text", "label"))
+    parts = S.stratified_split(labelled_docs(spark, sf).select("doc_id", "text", "label")).persist()
     train = parts.filter(F.col("part") == "train").select("doc_id", "text", "label")
     test = parts.filter(F.col("part") == "test").select("doc_id", "text", "label")
     return train, test
@@ -242,7 +242,7 @@ def _fixture_model(spark, sf):
     train, test = _split_parts(spark, sf)
     cfg = VectorizerConfig(words_to_keep=FIXTURE_K)
     counts = TM.doc_term_counts(train, cfg)
-    stats = TM.class_term_stats(counts)
+    stats = TM.class_term_stats(counts).persist()
     vocab = V.fit_vocabulary(counts, train.count(), cfg, stats=stats)
     ratio = stats.groupBy("term").agg(
         F.round(

@@ -20,6 +20,7 @@ from mailspark.operators.terms import class_term_stats
 # A vocabulary up to this many terms is broadcast; beyond it the joins
 # against it are left to a shuffle join (AQE may still convert them).
 BROADCAST_VOCAB_ROWS = 2_000_000
+WGL_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def class_topk(stats: DataFrame, k: int, class_col: str = "label") -> DataFrame:
@@ -27,6 +28,10 @@ def class_topk(stats: DataFrame, k: int, class_col: str = "label") -> DataFrame:
     most K; ``rank`` keeps every term tied at the cut. Spark plans this as a
     WindowGroupLimit with a partial limit before the shuffle (K <= 1000 by
     default), so only the local top-K of each task reaches the class window."""
+    conf = stats.sparkSession.conf
+    if k > int(conf.get(WGL_THRESHOLD, "1000")):
+        # keep the partial per-task limit for large K as well
+        conf.set(WGL_THRESHOLD, str(k))
     w = Window.partitionBy(class_col).orderBy(F.desc("c"))
     return stats.withColumn("rk", F.rank().over(w)).filter(F.col("rk") <= k)
 

@@ -35,7 +35,7 @@ class VectorizerConfig:
     weighting: str = "TF_IDF"
     bigrams: bool = False
     words_to_keep: int = PRESET_WORDS_TO_KEEP
-    stemmer: str = "none"
+    stemmer: object = "none"  # "none" or a per-word function str -> str
     stopwords: tuple[str, ...] | None = None
     stop_before_stem: bool = False
     extra: dict = field(default_factory=dict, compare=False, hash=False)
@@ -44,8 +44,8 @@ class VectorizerConfig:
         if self.weighting not in ("BINARY", "TF", "TF_IDF"):
             raise ValueError(f"unknown weighting {self.weighting!r}")
         if self.stemmer == "lovins":
-            raise NotImplementedError("the Lovins stemmer is not available yet (see README); use stemmer='none'")
-        if self.stemmer != "none":
+            raise NotImplementedError("the Lovins rules are not included (see README); pass a per-word function")
+        if not (self.stemmer == "none" or callable(self.stemmer)):
             raise ValueError(f"unknown stemmer {self.stemmer!r}")
         if self.words_to_keep < 1:
             raise ValueError("words_to_keep must be >= 1")
@@ -57,6 +57,10 @@ class VectorizerConfig:
             return "TF_IDF_BIGRAMS"
         return self.weighting
 
+    @property
+    def stemmer_name(self) -> str:
+        return self.stemmer if isinstance(self.stemmer, str) else getattr(self.stemmer, "__name__", "custom")
+
     @property
     def tokenizer(self) -> str:
         return "ngram12" if self.bigrams else "word"
@@ -100,7 +104,7 @@ class GridSpec:
     ridges: tuple[float, ...] = RIDGES
     n_folds: int = N_FOLDS
     max_iter: int = MAX_ITER
-    stemmer: str = "none"
+    stemmer: object = "none"  # "none" or a per-word function str -> str
     stopwords: tuple[str, ...] | None = None
 
     def points(self):

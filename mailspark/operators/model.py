@@ -107,7 +107,7 @@ class TextModel:
                     int(c.words_to_keep),
                     c.kind,
                     "|".join(c.stopwords) if c.stopwords else None,
-                    c.stemmer,
+                    c.stemmer_name,
                     bool(c.stop_before_stem),
                     int(self.size),
                 )
@@ -166,13 +166,18 @@ def save_model(model: TextModel, path: str) -> None:
     model.meta(spark).write.mode("overwrite").parquet(f"{path}/model_meta")
 
 
-def load_model(spark: SparkSession, path: str) -> TextModel:
-    """Read the two tables back; the term table is cached."""
+def load_model(spark: SparkSession, path: str, stemmer=None) -> TextModel:
+    """Read the two tables back; the term table is cached. A model
+    trained with a stemmer function needs the same function here."""
     meta = spark.read.parquet(f"{path}/model_meta").first()
     terms = spark.read.parquet(f"{path}/model_terms").cache()
     size = terms.count()
     stop = tuple(meta["stop_list"].split("|")) if meta["stop_list"] else None
-    cfg = VectorizerConfig.for_kind(meta["vectorizer"], words_to_keep=meta["k"], stemmer=meta["stemmer"], stopwords=stop, stop_before_stem=meta["stop_before_stem"])
+    if meta["stemmer"] != "none" and stemmer is None:
+        raise ValueError(f"model was trained with stemmer {meta['stemmer']!r}; pass it to load_model")
+    cfg = VectorizerConfig.for_kind(
+        meta["vectorizer"], words_to_keep=meta["k"], stemmer=stemmer or "none", stopwords=stop, stop_before_stem=meta["stop_before_stem"]
+    )
     return TextModel(terms, meta["intercept"], meta["n_train"], meta["ridge"], cfg, size)
 
 

@@ -22,7 +22,7 @@ def doc_tokens(docs: DataFrame, cfg: VectorizerConfig, text_col: str = "text", k
     keep = [c for c in keep if c in docs.columns]
     toks = word_tokens(clean_text(F.col(text_col)))
     out = docs.select(*keep, toks.alias("tokens"))
-    if cfg.stopwords:
+    if cfg.stopwords and (cfg.stemmer == "none" or cfg.stop_before_stem):
         stop = list(cfg.stopwords)
         out = out.withColumn("tokens", F.filter("tokens", lambda w: ~w.isin(stop)))
     if cfg.bigrams:
@@ -47,7 +47,13 @@ def doc_term_counts(
 ) -> DataFrame:
     """A1: ``(doc_id, label, term, f)`` under the tokenizer / stemmer /
     stopword settings of ``cfg``; ``outer`` keeps token-less documents."""
-    return count_tokens(doc_tokens(docs, cfg, text_col, keep), keep, outer)
+    counts = count_tokens(doc_tokens(docs, cfg, text_col, keep), keep, outer)
+    if cfg.stemmer != "none":
+        from mailspark.operators.stemming import stem_counts
+
+        stop = None if cfg.stop_before_stem else cfg.stopwords
+        counts = stem_counts(counts, cfg.stemmer, [c for c in keep if c in counts.columns], stop, outer)
+    return counts
 
 
 def class_term_stats(counts: DataFrame, class_col: str = "label") -> DataFrame:

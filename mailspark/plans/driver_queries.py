@@ -5,6 +5,8 @@ sides (sums differ in the last bits between plans)."""
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,27 @@ from mailspark.sources.tables import documents, labelled_docs, spread, table
 
 K_DEFAULT = 1000
 
+# Which labels column of the driver's ``labels`` table is the class:
+# ``toxic`` (default) or ``quality`` for the second run of the same queries.
+_LABEL: ContextVar[str] = ContextVar("label_col", default="toxic")
+SECOND_LABEL_QUERIES = ("stratum_counts", "class_topk_vocab", "weights_tfidf", "stratified_split", "score_docs", "quality_report", "holdout_quality")
+
+
+def _labelled(spark, sf):
+    return labelled_docs(spark, sf, _LABEL.get())
+
+
+def _with_label(fn, label_col):
+    def run(spark, sf):
+        token = _LABEL.set(label_col)
+        try:
+            return fn(spark, sf)  # plans are built inside, so they keep this label
+        finally:
+            _LABEL.reset(token)
+
+    run.__name__ = f"{fn.__name__}_{label_col}"
+    return run
+
 
 def _r(c, name):
     return F.round(c, 6).alias(name)
@@ -89,19 +112,19 @@ def q_escape_text(spark, sf):
 
 
 def q_encode_label(spark, sf):
-    return labelled_docs(spark, sf).select("doc_id", "label", T.encode_label("label").alias("y"))
+    return _labelled(spark, sf).select("doc_id", "label", T.encode_label("label").alias("y"))
 
 
 def q_union_labelled(spark, sf):
     """The ham source and the spam source, unioned by name."""
-    ld = labelled_docs(spark, sf)
+    ld = _labelled(spark, sf)
     ham = ld.filter(F.col("label") == T.HAM)
     spam = ld.filter(F.col("label") == T.SPAM)
     return ham.unionByName(spam).select("doc_id", "label", F.length("text").alias("n_chars"))
 
 
 def q_read_labelled_docs(spark, sf):
-    return labelled_docs(spark, sf).select("doc_id", "label", T.clean_text("text").alias("clean"))
+    return _labelled(spark, sf).select("doc_id", "label", T.clean_text("text").alias("clean"))
 
 
 # ------------------------------------------------------------- 2.4 / 2.5 terms
@@ -121,7 +144,7 @@ def q_bigram_tokens(spark, sf):
 
 
 def _counts(spark, sf, cfg=VectorizerConfig()):
-    return TM.doc_term_counts(labelled_docs(spark, sf), cfg)
+    return TM.doc_term_counts(_labelled(spark, sf), cfg)
 
 
 def q_term_counts(spark, sf):
@@ -159,7 +182,7 @@ def q_class_topk_vocab(spark, sf, k=100):
 
 
 def _fit(spark, sf, cfg):
-    docs = labelled_docs(spark, sf)
+    docs = _labelled(spark, sf)
     counts = TM.doc_term_counts(docs, cfg).persist()
     vocab = V.fit_vocabulary(counts, docs.count(), cfg)
     return counts, vocab
@@ -197,19 +220,19 @@ def q_weights_tfidf_bigrams(spark, sf):
 
 # ------------------------------------------------------------------ 2.6 split
 def q_stratum_counts(spark, sf):
-    return S.stratum_counts(labelled_docs(spark, sf))
+    return S.stratum_counts(_labelled(spark, sf))
 
 
 def q_seeded_order(spark, sf):
-    return S.seeded_rank(labelled_docs(spark, sf).select("doc_id", "label")).select("doc_id", "stratum", "h", F.col("rank").cast("long").alias("rank"))
+    return S.seeded_rank(_labelled(spark, sf).select("doc_id", "label")).select("doc_id", "stratum", "h", F.col("rank").cast("long").alias("rank"))
 
 
 def q_stratified_split(spark, sf):
-    return S.stratified_split(labelled_docs(spark, sf).select("doc_id", "label")).select("doc_id", "label", "part")
+    return S.stratified_split(_labelled(spark, sf).select("doc_id", "label")).select("doc_id", "label", "part")
 
 
 def q_stratified_folds(spark, sf):
-    sp = S.stratified_split(labelled_docs(spark, sf).select("doc_id", "label")).filter(F.col("part") == "train")
+    sp = S.stratified_split(_labelled(spark, sf).select("doc_id", "label")).filter(F.col("part") == "train")
     return sp.select("doc_id", "label").join(S.train_folds(sp), "doc_id")
 
 
@@ -219,7 +242,7 @@ FIXTURE_INTERCEPT = -1.0
 
 
 def _split_parts(spark, sf):
-    parts = S.stratified_split(labelled_docs(spark, sf).select("doc_id", "text", "label")).persist()
+    parts = S.stratified_split(_labelled(spark, sf).select("doc_id", "text", "label")).persist()
     train = parts.filter(F.col("part") == "train").select("doc_id", "text", "label")
     test = parts.filter(F.col("part") == "test").select("doc_id", "text", "label")
     return train, test
@@ -319,7 +342,7 @@ def q_holdout_quality(spark, sf):
     stopwords (K=1000, TF-IDF, ridge 10)."""
     from mailspark.plans.train import holdout_quality
 
-    rep = holdout_quality(labelled_docs(spark, sf), VectorizerConfig(words_to_keep=K_DEFAULT), ridge=10.0)
+    rep = holdout_quality(_labelled(spark, sf), VectorizerConfig(words_to_keep=K_DEFAULT), ridge=10.0)
     return rep.select("class", "metric", _r(F.col("value"), "value"))
 
 
@@ -327,7 +350,7 @@ def q_train_model(spark, sf):
     """M3: refit on all labelled docs; the model term table."""
     from mailspark.plans.train import train_final
 
-    m = train_final(labelled_docs(spark, sf), VectorizerConfig(words_to_keep=K_DEFAULT), ridge=10.0)
+    m = train_final(_labelled(spark, sf), VectorizerConfig(words_to_keep=K_DEFAULT), ridge=10.0)
     return m.terms.select("term", "idx", _r(F.col("idf"), "idf"), _r(F.col("coef"), "coef"))
 
 
@@ -344,9 +367,9 @@ def q_grid_search(spark, sf):
     from mailspark.config import GridSpec
     from mailspark.plans.tune import grid_search
 
-    key = (id(spark), sf)
+    key = (id(spark), sf, _LABEL.get())
     if key not in _GRID_MEMO:
-        _GRID_MEMO[key] = grid_search(labelled_docs(spark, sf), GridSpec(**SMALL_GRID)).cache()
+        _GRID_MEMO[key] = grid_search(_labelled(spark, sf), GridSpec(**SMALL_GRID)).cache()
     g = _GRID_MEMO[key]
     return g.select("vectorizer", "vec_ord", "k", "ridge", "vocab_size", _r(F.col("f_spam"), "f_spam"))
 
@@ -373,6 +396,13 @@ def q_best_config(spark, sf):
 
 # ---------------------------------------------------------------- registry
 def spark_queries():
+    base = _base_queries()
+    for name in SECOND_LABEL_QUERIES:
+        base[f"{name}_quality"] = _with_label(base[name], "quality")
+    return base
+
+
+def _base_queries():
     return {
         "clean_text": q_clean_text,
         "clean_conversations": q_clean_conversations,
@@ -440,6 +470,14 @@ def _stop():
 
 
 def oracle_sql():
+    base = _base_sql()
+    for name in SECOND_LABEL_QUERIES:
+        if name in base:
+            base[f"{name}_quality"] = base[name].replace("l.toxic = 1", "l.quality = 1")
+    return base
+
+
+def _base_sql():
     stratum = "CASE WHEN label = 'ham' THEN 'ham' ELSE 'spam' END"
     ranked = (
         f"rk AS (SELECT doc_id, text, label, {stratum} AS stratum, md5('12345:' || CAST(doc_id AS VARCHAR)) AS h, "

@@ -73,3 +73,17 @@ def test_penalty_mapping_and_shrinkage(spark):
         assert abs(np.sum(p - y)) < 1e-3
         norms.append(np.linalg.norm(b * sd))
     assert norms[1] < norms[0]
+
+
+def test_one_class_absent(spark):
+    """Training data with ham only: Spark ML gives zero coefficients and an
+    infinite intercept; every document scores ham, metrics stay defined
+    where they can be."""
+    from mailspark.operators.evaluate import quality_report
+
+    docs = labelled_docs(spark, SF).filter(F.col("label") == "ham")
+    m = fit_text_model(docs, VectorizerConfig(words_to_keep=20), 1.0, 20)
+    pred = score_docs(docs, m)
+    assert {r["prediction"] for r in pred.collect()} == {"ham"}
+    rep = {(r["class"], r["metric"]): r["value"] for r in quality_report(pred).collect()}
+    assert rep[(None, "accuracy")] == 100.0 and rep[("spam", "f")] is None

@@ -81,7 +81,20 @@ class VectorizerConfig:
 
 def default_stopwords() -> tuple[str, ...]:
     """Spark's built-in English stopword list (the reference's list is not
-    available; see README)."""
+    available; see README). Read from the Spark ML jar that ships with
+    PySpark, so no running SparkContext is needed; falls back to the JVM."""
+    import glob
+    import os
+    import zipfile
+
+    import pyspark
+
+    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
+    for jar in jars:
+        with zipfile.ZipFile(jar) as z:
+            name = "org/apache/spark/ml/feature/stopwords/english.txt"
+            if name in z.namelist():
+                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w.strip())
     from pyspark.ml.feature import StopWordsRemover
 
     return tuple(StopWordsRemover.loadDefaultStopWords("english"))

@@ -62,8 +62,11 @@ def fit_logistic(vectors: DataFrame, ridge: float, n: int, max_iter: int = MAX_I
     of paying per-task overhead on many near-empty ones, while a large
     training set keeps its parallelism."""
     want = max(1, -(-int(n) // ROWS_PER_FIT_PARTITION))
-    if vectors.rdd.getNumPartitions() > want:
-        vectors = vectors.coalesce(want)
+    try:
+        if vectors.rdd.getNumPartitions() > want:
+            vectors = vectors.coalesce(want)
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
+        pass
     lr = LogisticRegression(
         featuresCol="features",
         labelCol="y",

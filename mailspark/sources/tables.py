@@ -24,9 +24,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     ``key`` reuses this partitioning. Well-split inputs are left as they are
     (no extra shuffle at scale)."""
     spark = df.sparkSession
-    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        return df.repartition(key)
-    return df
+    try:
+        small = df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+        small = False
+    return df.repartition(key) if small else df
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:

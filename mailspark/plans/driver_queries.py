@@ -86,22 +86,23 @@ def q_parse_file_name(spark, sf):
 
 
 def _file_name_expr():
-    # every 7th id gets an invalid month, every 11th a two-part name
-    day = F.date_add(F.lit("2003-01-01").cast("date"), (F.col("doc_id") % 400).cast("int"))
-    date_s = F.when(F.col("doc_id") % 7 == 3, F.concat(F.lit("2003-13-"), (F.col("doc_id") % 28 + 1).cast("string"))).otherwise(
-        F.date_format(day, "yyyy-MM-dd")
-    )
+    # names derived from the row itself: German documents get an invalid
+    # month, Spanish ones a two-part name, the rest a full mail-style name
+    day = F.date_add(F.lit("2003-01-01").cast("date"), F.least(F.col("n_chars"), F.lit(3650)).cast("int"))
+    bad = F.concat(F.lit("2003-13-"), F.lpad(F.least(F.col("n_chars"), F.lit(28)).cast("string"), 2, "0"))
+    date_s = F.when(F.col("lang") == "de", bad).otherwise(F.date_format(day, "yyyy-MM-dd"))
     full = F.concat_ws(".", F.lpad(F.col("doc_id").cast("string"), 4, "0"), date_s, F.col("source"), F.col("lang"), F.lit("txt"))
     short = F.concat_ws(".", F.col("doc_id").cast("string"), F.lit("txt"))
-    return F.when(F.col("doc_id") % 11 == 5, short).otherwise(full)
+    return F.when(F.col("lang") == "es", short).otherwise(full)
 
 
 def _file_name_sql():
-    day = "strftime(DATE '2003-01-01' + CAST(doc_id % 400 AS INTEGER), '%Y-%m-%d')"
-    date_s = f"CASE WHEN doc_id % 7 = 3 THEN '2003-13-' || CAST(doc_id % 28 + 1 AS VARCHAR) ELSE {day} END"
+    day = "strftime(DATE '2003-01-01' + CAST(least(n_chars, 3650) AS INTEGER), '%Y-%m-%d')"
+    bad = "'2003-13-' || lpad(CAST(least(n_chars, 28) AS VARCHAR), 2, '0')"
+    date_s = f"CASE WHEN lang = 'de' THEN {bad} ELSE {day} END"
     full = f"concat_ws('.', lpad(CAST(doc_id AS VARCHAR), 4, '0'), {date_s}, source, lang, 'txt')"
     short = "concat_ws('.', CAST(doc_id AS VARCHAR), 'txt')"
-    return f"CASE WHEN doc_id % 11 = 5 THEN {short} ELSE {full} END"
+    return f"CASE WHEN lang = 'es' THEN {short} ELSE {full} END"
 
 
 def q_escape_text(spark, sf):

@@ -355,6 +355,7 @@ def q_train_model(spark, sf):
     return m.terms.select("term", "idx", _r(F.col("idf"), "idf"), _r(F.col("coef"), "coef"))
 
 
+FIT_PARALLELISM = 8
 SMALL_GRID = dict(vectorizers=("BINARY", "TF_IDF"), words_to_keep=(1000,), ridges=(1e-2, 10.0), n_folds=3)
 
 
@@ -370,7 +371,7 @@ def q_grid_search(spark, sf):
 
     key = (id(spark), sf, _LABEL.get())
     if key not in _GRID_MEMO:
-        _GRID_MEMO[key] = grid_search(_labelled(spark, sf), GridSpec(**SMALL_GRID)).cache()
+        _GRID_MEMO[key] = grid_search(_labelled(spark, sf), GridSpec(**SMALL_GRID), parallelism=FIT_PARALLELISM).cache()
     g = _GRID_MEMO[key]
     return g.select("vectorizer", "vec_ord", "k", "ridge", "vocab_size", _r(F.col("f_spam"), "f_spam"))
 
@@ -383,7 +384,7 @@ def q_cv_f_measure(spark, sf):
 
     train, _ = _split_parts(spark, sf)
     folded = train.join(S.train_folds(train, N_FOLDS), "doc_id").cache()
-    res = cross_validate(folded, VectorizerConfig(words_to_keep=K_DEFAULT), [K_DEFAULT], [10.0], N_FOLDS, 500)
+    res = cross_validate(folded, VectorizerConfig(words_to_keep=K_DEFAULT), [K_DEFAULT], [10.0], N_FOLDS, 500, parallelism=FIT_PARALLELISM)
     folded.unpersist()
     rows = [(int(k), float(r), int(v), None if f is None else round(float(f), 6)) for _, k, r, v, f in res]
     return spark.createDataFrame(rows, "k INT, ridge DOUBLE, vocab_size BIGINT, f_spam DOUBLE")

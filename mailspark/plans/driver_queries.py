@@ -121,7 +121,7 @@ def q_union_labelled(spark, sf):
     ld = _labelled(spark, sf)
     ham = ld.filter(F.col("label") == T.HAM)
     spam = ld.filter(F.col("label") == T.SPAM)
-    return ham.unionByName(spam).select("doc_id", "label", F.length("text").alias("n_chars"))
+    return ham.unionByName(spam).select("doc_id", "label", F.length("text").cast("long").alias("n_chars"))
 
 
 def q_read_labelled_docs(spark, sf):
@@ -136,12 +136,12 @@ def _doc_token_arrays(spark, sf):
 
 
 def q_word_tokens(spark, sf):
-    return _doc_token_arrays(spark, sf).select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", "|").alias("tokens"))
+    return _doc_token_arrays(spark, sf).select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.array_join("t", "|").alias("tokens"))
 
 
 def q_bigram_tokens(spark, sf):
     ng = _doc_token_arrays(spark, sf).select("doc_id", ngram12_tokens("t").alias("ng"))
-    return ng.select("doc_id", F.size("ng").alias("n_terms"), F.md5(F.array_join("ng", "|")).alias("terms_md5"))
+    return ng.select("doc_id", F.size("ng").cast("long").alias("n_terms"), F.md5(F.array_join("ng", "|")).alias("terms_md5"))
 
 
 def _counts(spark, sf, cfg=VectorizerConfig()):

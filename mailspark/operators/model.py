@@ -126,9 +126,13 @@ def model_from_fit(vocab: Vocabulary, lr_model, ridge: float) -> TextModel:
     """Attach the fitted coefficients to the vocabulary table. The
     coefficient vector has vocabulary size (bounded by K per class plus
     ties) and enters the plan as a small table joined on ``idx``."""
+    import numpy as np
+    import pandas as pd
+
     spark = vocab.table.sparkSession
-    coefs = lr_model.coefficients.toArray().tolist()
-    coef_df = spark.createDataFrame(list(enumerate(coefs)), "idx INT, coef DOUBLE")
+    coefs = lr_model.coefficients.toArray()
+    pdf = pd.DataFrame({"idx": np.arange(coefs.size, dtype=np.int32), "coef": coefs.astype(np.float64)})
+    coef_df = spark.createDataFrame(pdf, "idx INT, coef DOUBLE")
     cfg = vocab.cfg
     idf = F.lit(1.0) if cfg.weighting != "TF_IDF" else F.log(F.col("n_train").cast("double") / F.col("df").cast("double"))
     terms = (

@@ -280,13 +280,13 @@ def _fixture_model(spark, sf):
     terms = vocab.table.join(ratio, "term").select(
         "term", F.log(F.col("n_train").cast("double") / F.col("df").cast("double")).alias("idf"), "coef"
     )
-    return terms, test, cfg
+    return V.maybe_broadcast(terms, vocab.size), test, cfg
 
 
 def _fixture_predictions(spark, sf):
     terms, test, cfg = _fixture_model(spark, sf)
     counts = TM.doc_term_counts(test, cfg, outer=True)
-    return M.score_counts(counts, F.broadcast(terms), FIXTURE_INTERCEPT, cfg.weighting, keep=("doc_id", "label"))
+    return M.score_counts(counts, terms, FIXTURE_INTERCEPT, cfg.weighting, keep=("doc_id", "label"))
 
 
 def q_score_docs(spark, sf):

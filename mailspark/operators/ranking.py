@@ -32,7 +32,9 @@ def bucketed_row_number(
 ) -> DataFrame:
     """Add ``out`` = 1-based row number within ``group_cols`` ordered by
     (``hex_key``, ``tie_col``). ``hex_key`` must be a lower-case hex string
-    column (e.g. an md5), so its prefix spreads rows evenly over buckets."""
+    column (e.g. an md5), so its prefix spreads rows evenly over buckets.
+    ``group_cols`` must have few distinct values (classes, or none): the
+    broadcast offset table has one row per (group, bucket)."""
     b = "_rn_bucket"
     keyed = df.withColumn(b, F.substring(F.col(hex_key), 1, prefix_len))
     per_bucket = keyed.groupBy(*group_cols, b).agg(F.count(F.lit(1)).alias("_rn_n"))

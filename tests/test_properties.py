@@ -46,3 +46,41 @@ def test_scoring_plan_broadcasts_model(spark):
     plan = score_docs(docs, m)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "partial_sum" in plan
+
+
+def _formatted_nodes(df):
+    """``(node name, its 'Input' line)`` pairs from ``explain('formatted')``."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    nodes, name = [], None
+    for line in buf.getvalue().splitlines():
+        if line.startswith("(") and ")" in line:
+            name = line.split(")", 1)[1].strip()
+        elif line.startswith("Input") and name:
+            nodes.append((name, line))
+    return nodes
+
+
+def test_split_never_windows_the_text(spark):
+    """The hold-out split ranks only (stratum, hash, id): no Window or Sort
+    node of the plan receives the text column."""
+    from mailspark.operators.split import stratified_split
+
+    docs = labelled_docs(spark, "/root/testdata/sf0.001")
+    nodes = _formatted_nodes(stratified_split(docs))
+    ranked = [(n, i) for n, i in nodes if n.startswith(("Window", "Sort"))]
+    assert ranked
+    for n, inp in ranked:
+        assert "text#" not in inp, (n, inp)
+
+
+def test_term_counts_have_no_exchange(spark):
+    """In-row counting: from the documents to (doc, term, f) there is no
+    shuffle besides the label join."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    plan = TM.doc_term_counts(docs, VectorizerConfig(), keep=("doc_id",))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "HashAggregate" not in plan

@@ -21,3 +21,32 @@ def write_prediction_lines(pred: DataFrame, path: str, name_col: str = "file_nam
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Quality report or grid results as Parquet or JSON."""
     df.write.mode("overwrite").format(fmt).save(path)
+
+
+def report_lines(report: DataFrame, ridge: float, words_to_keep: int, vectorizer: str = "TF_IDF") -> DataFrame:
+    """S6 as text: ``(n, value)`` lines of a quality report, the settings
+    first, then accuracy, kappa, weighted F and per-class precision, recall
+    and F (the same facts as the reference's report file, in English).
+    ``report`` is the long ``(class, metric, value)`` frame (a few rows)."""
+    from pyspark.sql import functions as F
+
+    order = {("accuracy", None): 2, ("kappa", None): 3, ("weighted_f", None): 4}
+    per = {"precision": 0, "recall": 1, "f": 2}
+    head = report.sparkSession.createDataFrame(
+        [(0, "=== QUALITY ESTIMATE ==="), (1, f"settings: ridge={ridge}, words_to_keep={words_to_keep}, {vectorizer}")],
+        "n INT, value STRING",
+    )
+    pos = F.coalesce(
+        *[F.when((F.col("metric") == m) & F.col("class").isNull(), F.lit(o)) for (m, _), o in order.items()],
+        F.when(F.col("class") == "ham", F.lit(10)).otherwise(F.lit(20))
+        + F.coalesce(*[F.when(F.col("metric") == m, F.lit(o)) for m, o in per.items()]),
+    )
+    label = F.when(F.col("class").isNull(), F.col("metric")).otherwise(F.concat_ws(" ", "class", "metric"))
+    body = report.select(pos.cast("int").alias("n"), F.concat(label, F.lit(": "), F.coalesce(F.col("value").cast("string"), F.lit("NULL"))).alias("value"))
+    return head.unionByName(body)
+
+
+def write_quality_report(report: DataFrame, path: str, ridge: float, words_to_keep: int, vectorizer: str = "TF_IDF") -> None:
+    """One small text file (the report has a fixed dozen lines, so a
+    single ordered partition is a proven bound)."""
+    report_lines(report, ridge, words_to_keep, vectorizer).orderBy("n").coalesce(1).select("value").write.mode("overwrite").text(path)

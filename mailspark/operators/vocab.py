@@ -109,3 +109,43 @@ def transform(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
     keep = [c for c in counts.columns if c not in ("term", "f")]
     j = counts.join(vocab.joinable(), "term")
     return j.select(*keep, "term", "idx", weight_expr(vocab.cfg, F.col("f"), F.col("df"), F.col("n_train")).alias("weight"))
+
+
+def fit_fold_vocabularies(fold_stats: DataFrame, n_by_fold: dict, cfg: VectorizerConfig, n_folds: int) -> dict:
+    """W1 + A3 for every "all folds but i" training set in one job.
+
+    ``fold_stats`` is ``(fold, label, term, c, d)``. Each row is sent to the
+    holds it trains (every fold but its own) by an in-row ``explode``, so one
+    aggregation gives the statistics of all k training sets; the top-K and the
+    index are then taken per (hold, class) and per hold. Returns ``{i:
+    Vocabulary}``, each a filter of one cached table; equal to calling
+    ``fit_vocabulary`` once per fold."""
+    holds = F.filter(F.array(*[F.lit(i) for i in range(n_folds)]), lambda h: h != F.col("fold"))
+    st = (
+        fold_stats.select(F.explode(holds).alias("hold"), "label", "term", "c", "d")
+        .groupBy("hold", "label", "term")
+        .agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+    )
+    k = cfg.words_to_keep
+    conf = fold_stats.sparkSession.conf
+    if k > int(conf.get(WGL_THRESHOLD, "1000")):
+        conf.set(WGL_THRESHOLD, str(k))
+    ranked = st.withColumn("rk", F.rank().over(Window.partitionBy("hold", "label").orderBy(F.desc("c"))))
+    terms = ranked.filter(F.col("rk") <= k).select("hold", "term").distinct()
+    df_ = st.join(terms, ["hold", "term"]).groupBy("hold", "term").agg(F.sum("d").alias("df"))
+    n_total = sum(n_by_fold.values())
+    n_hold = F.lit(n_total) - F.coalesce(
+        *[F.when(F.col("hold") == i, F.lit(int(n_by_fold.get(i, 0)))) for i in range(n_folds)], F.lit(0)
+    )
+    # each hold's vocabulary is bounded like a single fit's; indexing within a hold
+    idx = F.row_number().over(Window.partitionBy("hold").orderBy("term")) - 1
+    table = df_.select(
+        "hold", "term", idx.cast("int").alias("idx"), F.col("df").cast("long").alias("df"), n_hold.cast("long").alias("n_train")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["hold"]: r["n"] for r in table.groupBy("hold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = {}
+    for i in range(n_folds):
+        t = table.filter(F.col("hold") == i).drop("hold")
+        out[i] = Vocabulary(cfg, t, int(n_total - n_by_fold.get(i, 0)), int(sizes.get(i, 0)))
+    out["_table"] = table
+    return out

@@ -5,10 +5,12 @@ the largest image, so 64 evaluations give 128 values; four in a row (of four dif
 documents that share a band are candidates. With J the similarity, a pair is missed with probability
 ``(1 - J^4)^32``: 6e-11 at 0.85, 5e-8 at 0.8. Every link is confirmed on the full sets.
 
-Copies are folded first: documents with equal sets (128-bit fingerprint and size) are one member. Then rounds of
-stars: each member is compared with one centre only, the smallest in all its bands, later a centre drawn per band
-among bands that still hold several components. Few bands remain; there, all pairs of different components whose sizes
-allow a link are compared, so no link between different texts is lost, and no group's pairs are listed.
+Copies are folded first: documents with equal sets (128-bit fingerprint and size) are one member. Then stars: in each of
+its bands a member is compared with a few drawn centres, not with all. Few bands still hold several components after
+that; there, pairs of different components are looked at inside the join, once, in the first band they share, and those
+come out whose sizes allow a link and whose long signatures (``sketch`` values at one bit each) agree in no fewer places than a
+linked pair's would five standard deviations below their mean (a chance of 3e-7 to err at the very threshold). They
+are confirmed on full sets too, so no link between different texts is lost and no group's pairs are listed.
 
 Results: documents with null or empty text, or without a word, have the empty set and link with nothing. Fewer than k
 words: the whole sequence is one shingle. Rows that repeat a doc_id are members like others; a null doc_id gets the
@@ -36,7 +38,15 @@ class MinMax:
     bands: int = 32
     rows: int = 4
     seed: int = 20_250_101
-    star_rounds: int = 3
+    centres: int = 4
+    sketch: int = 2048
+    deviations: float = 5.0
+
+    @property
+    def most_apart(self) -> int:
+        """Bits of the long signature in which a linked pair differs at most, but for ``deviations``."""
+        p = (1 + self.percent / 100) / 2
+        return int(np.ceil(self.sketch * (1 - p) + self.deviations * np.sqrt(self.sketch * p * (1 - p))))
 
 
 def shingle_sets(texts: list, k: int, words: Cache) -> list[np.ndarray]:
@@ -56,17 +66,24 @@ def shingle_sets(texts: list, k: int, words: Cache) -> list[np.ndarray]:
     return out
 
 
-def band_hashes(flat: np.ndarray, off: np.ndarray, cfg: MinMax) -> np.ndarray:
-    """(documents, bands): every set must be non-empty."""
-    perms = cfg.bands * cfg.rows // 2
-    draw = np.random.default_rng(cfg.seed).integers(0, 2**63, (2, perms), np.uint64)
-    sig = np.empty((2 * perms, len(off) - 1), np.uint64)
+def minmax(flat: np.ndarray, off: np.ndarray, perms: int, seed: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Signature values of every set, one permutation's minimum and maximum after the other: (number, value per set). The
+    maximum of permutation j has number ``perms + j``. Every set must be non-empty."""
+    draw = np.random.default_rng(seed).integers(0, 2**63, (2, perms), np.uint64)
     for j in range(perms):
         x = (flat ^ draw[0, j]) * (draw[1, j] | np.uint64(1))
         x ^= x >> np.uint64(32)
         x *= draw[0, j] | np.uint64(1)
-        sig[j] = np.minimum.reduceat(x, off[:-1])
-        sig[perms + j] = np.maximum.reduceat(x, off[:-1])
+        yield j, np.minimum.reduceat(x, off[:-1])
+        yield perms + j, np.maximum.reduceat(x, off[:-1])
+
+
+def band_hashes(flat: np.ndarray, off: np.ndarray, cfg: MinMax) -> np.ndarray:
+    """(documents, bands)."""
+    n = cfg.bands * cfg.rows
+    sig = np.empty((n, len(off) - 1), np.uint64)
+    for j, value in minmax(flat, off, n // 2, cfg.seed):
+        sig[j] = value
     bands = np.zeros((cfg.bands, len(off) - 1), np.uint64)
     for b in range(cfg.bands):
         acc = np.full(len(off) - 1, b, np.uint64)
@@ -76,8 +93,12 @@ def band_hashes(flat: np.ndarray, off: np.ndarray, cfg: MinMax) -> np.ndarray:
     return bands.T
 
 
+def int_lists(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(starts(sizes).astype(np.int32)), pa.array(np.ascontiguousarray(values).ravel().view(np.int64)))
+
+
 def signatures(docs: DataFrame, cfg: MinMax) -> DataFrame:
-    """``(doc_id, n, f1, f2, bands)``: set size, fingerprint and band hashes (null for empty sets)."""
+    """``(doc_id, n, f1, f2, bands)``: set size, fingerprint and band hashes (empty for empty sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Cache(xxhash.xxh3_64_intdigest)
@@ -91,16 +112,13 @@ def signatures(docs: DataFrame, cfg: MinMax) -> DataFrame:
                 flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
                 none = size == 0
                 f1, f2 = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
-                where = np.zeros(len(sets) + 1, np.int32)
-                where[1:] = np.cumsum(np.where(none, 0, cfg.bands))
-                values = np.empty(0, np.uint64)
+                bands = np.empty(0, np.uint64)
                 if len(full):
                     f1[full] = np.add.reduceat(mix64(flat), off[:-1])
                     f2[full] = np.add.reduceat(mix64(flat ^ np.uint64(0x5851F42D4C957F2D)), off[:-1])
-                    values = band_hashes(flat, off, cfg).ravel()
-                bands = pa.ListArray.from_arrays(pa.array(where), pa.array(values.view(np.int64)))
+                    bands = band_hashes(flat, off, cfg)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(size), pa.array(f1.view(np.int64), mask=none), pa.array(f2.view(np.int64), mask=none), bands],
+                    [b.column(0).slice(lo, hi - lo), pa.array(size), pa.array(f1.view(np.int64), mask=none), pa.array(f2.view(np.int64), mask=none), int_lists(np.where(none, 0, cfg.bands), bands)],
                     ["doc_id", "n", "f1", "f2", "bands"],
                 )
 
@@ -134,53 +152,63 @@ def confirmed(pairs: DataFrame, sets: DataFrame, cfg: MinMax) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").where(near).select("a", "b")
 
 
-def size_allows(x, y, cfg: MinMax):
-    return 100 * F.least(x, y) >= cfg.percent * F.greatest(x, y)
+def sketches(sets: DataFrame, cfg: MinMax) -> DataFrame:
+    """``(member, sketch)``: long signatures from full sets, one bit a value, 64 in a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 200):
+                part = b.slice(lo, 200)
+                lists = part.column(1)
+                off = lists.offsets.to_numpy()
+                flat = lists.values.to_numpy().view(np.uint64)[off[0] : off[-1]]
+                off = (off - off[0]).astype(np.int64)
+                out = np.zeros((len(off) - 1, cfg.sketch // 64), np.uint64)
+                for j, value in minmax(flat, off, cfg.sketch // 2, cfg.seed + 1):
+                    out[:, j // 64] |= (mix64(value) & np.uint64(1)) << np.uint64(j % 64)
+                yield pa.RecordBatch.from_arrays([part.column(0), int_lists(np.full(len(out), out.shape[1]), out)], ["member", "sketch"])
+
+    return sets.select("member", "shingles").mapInArrow(run, "member long, sketch array<long>")
+
+
+def may_link(cfg: MinMax):
+    """Over columns of both sides: sizes allow a link and long signatures agree in enough bits."""
+    sizes = 100 * F.least("na", "nb") >= cfg.percent * F.greatest("na", "nb")
+    apart = F.lit(0)
+    for i in range(cfg.sketch // 64):
+        apart = apart + F.bit_count(F.get("ka", F.lit(i)).bitwiseXOR(F.get("kb", F.lit(i))))
+    return sizes & (apart <= cfg.most_apart)
 
 
 def member_links(docs: DataFrame, members: DataFrame, cfg: MinMax, stages: Stages) -> DataFrame:
     """``(node, component)`` over ``members(member, n, bands)``, one row for each different set."""
-    banded = stages.keep(members.select("member", "n", F.explode("bands").alias("band")))
+    banded = members.select("member", F.posexplode("bands").alias("no", "band"))
+    drawn = [F.min(F.struct(F.xxhash64(F.lit(i), "member").alias("r"), F.col("member").alias("c")))["c"] for i in range(1, cfg.centres)]
     # only bands with two members or more matter
-    heads = stages.keep(
-        banded.groupBy("band").agg(F.min("member").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1").select("band", "centre")
-    )
-    shared = stages.keep(banded.join(heads, "band"))
-    stages.drop(banded, heads)
-    wanted = shared.select("member").distinct()
+    heads = banded.groupBy("no", "band").agg(F.count(F.lit(1)).alias("size"), F.array(F.min("member"), *drawn).alias("centres"))
+    heads = stages.keep(heads.where("size > 1").select("no", "band", "centres"))
+    shared = stages.keep(banded.join(heads, ["no", "band"]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stages.keep(full_sets(texts.join(wanted.withColumnRenamed("member", "doc_id"), "doc_id", "left_semi"), cfg).dropDuplicates(["member"]))
-    # first star: the smallest centre over all bands of a member
-    pairs = shared.groupBy("member").agg(F.min("centre").alias("a")).where("a != member").select("a", F.col("member").alias("b"))
-    links = stages.keep(confirmed(pairs, sets, cfg))
+    wanted = shared.select(F.col("member").alias("doc_id")).distinct()
+    sets = stages.keep(full_sets(texts.join(wanted, "doc_id", "left_semi"), cfg).dropDuplicates(["member"]))
+    stars = shared.select("member", F.explode(F.array_distinct("centres")).alias("c")).where("c != member")
+    stars = stars.select(F.least("c", "member").alias("a"), F.greatest("c", "member").alias("b")).distinct()
+    links = stages.keep(confirmed(stars, sets, cfg))
     comp = components(links, stages)
-    for turn in range(1, cfg.star_rounds + 2):
-        at = shared.select("band", "member", "n").join(comp.withColumnRenamed("node", "member"), "member", "left")
-        at = stages.keep(at.select("band", "member", "n", F.coalesce("component", "member").alias("comp")))
-        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "member").alias("r"), F.col("member").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc")))
-        bands = at.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), drawn.alias("s"))
-        split = stages.keep(bands.where("lo != hi").select("band", "size", "s.*"))
-        rows, pairs = split.agg(F.sum("size"), F.sum(F.col("size").cast("double") * F.col("size"))).first()
-        if not rows:
-            break
-        left = stages.keep(at.join(split, "band"))
-        stages.drop(at, split, shared)
-        shared = left.select("band", "member", "n")
-        # while bands are large, members meet a centre alone; the pairs of what is left are compared in the end
-        last = turn > cfg.star_rounds or pairs <= 8 * rows
-        if last:
-            x = left.select("band", F.col("member").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            y = left.select("band", F.col("member").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            tries = x.join(y, "band").where("a < b and ca != cb").where(size_allows(F.col("na"), F.col("nb"), cfg)).select("a", "b")
-        else:
-            tries = left.where("comp != cc").where(size_allows(F.col("n"), F.col("cn"), cfg)).select(F.least("c", "member").alias("a"), F.greatest("c", "member").alias("b"))
-        new = stages.keep(confirmed(tries.distinct(), sets, cfg))
-        if not new.isEmpty():
-            links = stages.keep(links.union(new))
-            comp = components(links, stages)
-        if last:
-            break
-    return comp
+    # bands that still hold several components
+    at = shared.select("no", "band", "member").join(comp.withColumnRenamed("node", "member"), "member", "left")
+    at = stages.keep(at.select("no", "band", "member", F.coalesce("component", "member").alias("comp")))
+    split = stages.keep(at.groupBy("no", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("no", "band"))
+    left = stages.keep(at.join(split, ["no", "band"]))
+    known = sets.join(left.select("member").distinct(), "member", "left_semi")
+    known = stages.keep(sketches(known, cfg).join(members, "member"))
+    rest = left.join(known, "member")
+    side = lambda x: rest.select("no", "band", F.col("member").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("sketch").alias(f"k{x}"), F.col("bands").alias(f"b{x}"))
+    first = F.array_position(F.zip_with("ba", "bb", lambda p, q: p == q), F.lit(True)) == F.col("no") + 1
+    tries = side("a").join(side("b"), ["no", "band"]).where("a < b and ca != cb").where(may_link(cfg)).where(first).select("a", "b")
+    more = stages.keep(confirmed(tries, sets, cfg))
+    stages.drop(heads, shared, at, split, left)
+    return comp if more.isEmpty() else components(links.union(more), stages)
 
 
 def near_duplicates(docs: DataFrame, cfg: MinMax = MinMax()) -> DataFrame:

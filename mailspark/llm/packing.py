@@ -18,6 +18,7 @@ are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +40,7 @@ class PackConfig:
     bin: int = 8
     depth: int = 3
     part_rows: int = 20_000
-    words: int = 300_000
+    words: int = 700_000
 
 
 class WordIds(dict):
@@ -52,7 +53,7 @@ class WordIds(dict):
         self.tokenizer, self.limit, self.old = Tokenizer.from_file(path), limit, {}
 
     def learn(self, words: set) -> None:
-        """Encodes what is unknown in one batch."""
+        """Makes all of ``words`` known; what is new is encoded in one batch."""
         if len(self) + len(words) > self.limit:
             self.old = dict(self)
             self.clear()
@@ -68,21 +69,29 @@ class WordIds(dict):
             self[w] = np.array(e.ids, "<u4").tobytes()
 
 
+_KNOWN: dict[str, WordIds] = {}
+
+
+def word_ids(path: str, limit: int) -> WordIds:
+    """One per process, so that a worker's later tasks know the words of its earlier ones."""
+    if path not in _KNOWN:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _KNOWN[path] = WordIds(path, limit)
+    return _KNOWN[path]
+
+
 def pieces(docs: DataFrame, cfg: PackConfig, with_ids: bool = False) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens[, ids])``: one row per piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = WordIds(cfg.tokenizer, cfg.words)
+        known = word_ids(cfg.tokenizer, cfg.words)
         end = np.array([cfg.end_id], "<u4").tobytes()
         step = 4 * cfg.window
         for b in batches:
             texts = b.column(1).to_pylist()
             for lo, hi in chunks(texts, 1_000_000):
                 split = [t.encode().split() if t else [] for t in texts[lo:hi]]
-                known.learn(set().union(*split).difference(known))
+                known.learn(set().union(*split))
                 which, start, length, crc, total, ids = [], [], [], [], [], []
                 for i, words in enumerate(split):
                     data = b"".join(map(known.__getitem__, words)) + end

@@ -33,7 +33,7 @@ from mailspark.llm.common import Stages, components
 class Projections:
     cosine: float = 0.9
     lists: int = 20
-    per_root: float = 32.0  # directions: per_root * sqrt(vectors), rounded up to a power of two
+    per_root: float = 128.0  # directions: per_root * sqrt(vectors), rounded up to a power of two
     least: int = 512
     window: float = 1.2
     recall: float = 0.985
@@ -90,8 +90,8 @@ def listed(classes: DataFrame, m: int, cfg: Projections) -> DataFrame:
                 if dim not in held:
                     held[dim] = directions(int(dim), m, cfg.seed)
                 rows = np.flatnonzero(dims == dim)
-                for lo in range(0, len(rows), 1000):
-                    some = rows[lo : lo + 1000]
+                for lo in range(0, len(rows), 200):
+                    some = rows[lo : lo + 200]
                     v = np.stack([flat[off[i] : off[i] + dim] for i in some])
                     # scaled by the largest component first, so that squares neither overflow nor vanish
                     v = v / np.abs(v).max(axis=1, keepdims=True)

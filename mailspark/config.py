@@ -118,7 +118,10 @@ class GridSpec:
     n_folds: int = N_FOLDS
     max_iter: int = MAX_ITER
     stemmer: object = "none"  # "none" or a per-word function str -> str
-    stopwords: tuple[str, ...] | None = None
+    stopwords: tuple[str, ...] | str | None = "default"  # the default list, a tuple, or None
+
+    def stop_list(self) -> tuple[str, ...] | None:
+        return default_stopwords() if self.stopwords == "default" else self.stopwords
 
     def points(self):
         """Grid points in the reference's loop order (vectorizer, K, ridge)."""

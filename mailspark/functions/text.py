@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # pattern of a mail file name, the class names (ham = 0, spam = 1) and the
 # train share with its half-up rounding.
 # ---------------------------------------------------------------------------
-EMAIL_PATTERN = r"\S+@\S+\.\S+"
+EMAIL_PATTERN = r"(?<!\S)\S[^\s@]*+@\S+\.\S+"
 URL_PATTERN = r"(http|https)://\S+"
 NUMBER_PATTERN = r"\b\d+\b"
 NON_ALPHABET_PATTERN = r"[^a-zA-Záéíóúñü' ]"
@@ -34,7 +34,10 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_emails(c: Column | str) -> Column:
-    """E-mail-like tokens (greedy on non-space) become one space."""
+    """E-mail-like tokens (greedy on non-space) become one space. The matches
+    are those of ``\\S+@\\S+\\.\\S+``: one starts where its run of non-space starts
+    and may take the run's first @ after that. Saying so keeps the work on a
+    long run in proportion to its length."""
     return F.regexp_replace(_col(c), EMAIL_PATTERN, " ")
 
 
@@ -69,11 +72,6 @@ def clean_text(c: Column | str) -> Column:
     return squeeze_spaces(F.lower(keep_alphabet(strip_numbers(strip_urls(strip_emails(c))))))
 
 
-def join_lines(c: Column | str) -> Column:
-    """Re-join the lines of a file with one space."""
-    return F.regexp_replace(_col(c), r"\r\n|\r|\n", " ")
-
-
 def parse_sender(file_name: Column | str) -> Column:
     """Third dot-separated part of the file name, else the unknown word."""
     parts = F.split(_col(file_name), r"\.")
@@ -101,6 +99,11 @@ def prediction_line(prediction: Column | str, name: Column | str) -> Column:
     return F.concat(_col(prediction), F.lit(', "'), _col(name), F.lit('"'))
 
 
+def raw_text_line(prediction: Column | str, text: Column | str) -> Column:
+    """P10 + P11 for a text given as such: ``<label>, "<escaped text>"``."""
+    return prediction_line(prediction, escape_text(text))
+
+
 def encode_label(label: Column | str) -> Column:
     """ham -> 0, spam -> 1, anything else -> NULL."""
     lab = _col(label)

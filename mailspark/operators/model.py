@@ -19,10 +19,9 @@ from pyspark.sql import functions as F
 
 from mailspark.config import MAX_ITER, VectorizerConfig
 from mailspark.functions.text import HAM, SPAM, decode_prediction, encode_label
-from mailspark.operators.vocab import Vocabulary, maybe_broadcast, weight_expr
+from mailspark.operators.vocab import Vocabulary, weight_expr
 
 TOL = 1e-8
-ROWS_PER_FIT_PARTITION = 50_000
 
 
 def _sparse(size: int):
@@ -53,20 +52,13 @@ def ridge_to_reg_param(ridge: float, n: int) -> float:
     return 2.0 * float(ridge) / max(int(n), 1)
 
 
-def fit_logistic(vectors: DataFrame, ridge: float, n: int, max_iter: int = MAX_ITER, tol: float = TOL):
-    """M1 on ``(features, y)``; ``n`` is the number of training rows.
-
-    Every solver iteration is one distributed gradient pass, so the input is
-    narrowed (``coalesce``, no shuffle) to about ``ROWS_PER_FIT_PARTITION``
-    documents per partition: a few hundred documents fit in one task instead
-    of paying per-task overhead on many near-empty ones, while a large
-    training set keeps its parallelism."""
-    want = max(1, -(-int(n) // ROWS_PER_FIT_PARTITION))
-    try:
-        if vectors.rdd.getNumPartitions() > want:
-            vectors = vectors.coalesce(want)
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
-        pass
+def fit_logistic(vectors: DataFrame, ridge: float, n: int, max_iter: int = MAX_ITER, tol: float = TOL, partitions: int | None = None):
+    """M1 on ``(features, y)``; ``n`` is the number of training rows. Every solver
+    iteration is one distributed gradient pass over the partitions as they come
+    (AQE sizes them by bytes); ``partitions`` narrows them where a caller knows
+    that its training set is small."""
+    if partitions:
+        vectors = vectors.coalesce(partitions)
     lr = LogisticRegression(
         featuresCol="features",
         labelCol="y",
@@ -119,7 +111,7 @@ class TextModel:
         )
 
     def joinable(self) -> DataFrame:
-        return maybe_broadcast(self.terms, self.size)
+        return self.terms
 
 
 def model_from_fit(vocab: Vocabulary, lr_model, ridge: float) -> TextModel:
@@ -136,7 +128,7 @@ def model_from_fit(vocab: Vocabulary, lr_model, ridge: float) -> TextModel:
     cfg = vocab.cfg
     idf = F.lit(1.0) if cfg.weighting != "TF_IDF" else F.log(F.col("n_train").cast("double") / F.col("df").cast("double"))
     terms = (
-        vocab.table.join(maybe_broadcast(coef_df, vocab.size), "idx")
+        vocab.table.join(coef_df, "idx")
         .select("term", "idx", idf.alias("idf"), "coef")
         .cache()
     )

@@ -1,59 +1,46 @@
-"""T4 as a job over distinct terms.
-
-A stemmer is a per-word function. It runs once per *distinct* word, not per
-token: distinct words -> ``mapInPandas`` (Arrow batches) -> ``(word, stem)``;
-terms (1- or 2-grams) are mapped word by word and re-joined with one space;
-the document counts are then joined to that map and re-summed per
-(document, stemmed term). Stopwords, unless ``stop_before_stem``, are
-tested against the stemmed term (T6).
+"""T4: stemming words of token arrays.
+
+A stemmer is a per-word function. It runs in Arrow batches over the token
+arrays, once per word a task meets lately (a bounded memory), before n-grams
+are built, so no term map is joined and no document is shuffled or lost.
+``s_stem`` is a small published one (Harman 1991, the "S" stemmer).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.operators.vocab import maybe_broadcast
+REMEMBERED_WORDS = 200_000
+
+
+def s_stem(word: str) -> str:
+    """Plural endings: ``ies`` to ``y`` (not after a or e), ``es`` to ``e`` (not
+    after a, e or o), ``s`` dropped (not after u or s); the first that fits."""
+    if word.endswith("ies") and not word.endswith(("eies", "aies")):
+        return word[:-3] + "y"
+    if word.endswith("es") and not word.endswith(("aes", "ees", "oes")):
+        return word[:-1]
+    if word.endswith("s") and not word.endswith(("us", "ss")):
+        return word[:-1]
+    return word
+
+
+def stem_tokens(stem: Callable[[str], str]):
+    """A function of a token-array column: each word replaced by its stem."""
+
+    @F.pandas_udf("array<string>")
+    def run(tokens: pd.Series) -> pd.Series:
+        known = lru_cache(REMEMBERED_WORDS)(stem)
+        return pd.Series([None if t is None else [known(w) for w in t] for t in tokens], dtype=object)
 
-# distinct-term maps up to this many rows are broadcast to the count rows
-BROADCAST_TERM_MAP_ROWS = 5_000_000
+    return run
 
 
 def stem_words(words: DataFrame, stem: Callable[[str], str]) -> DataFrame:
-    """``(word)`` -> ``(word, stem)`` with the stemmer run in Arrow batches."""
-
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"word": pdf["word"], "stem": [stem(w) for w in pdf["word"]]})
-
-    return words.mapInPandas(run, "word STRING, stem STRING")
-
-
-def term_stem_map(counts: DataFrame, stem: Callable[[str], str]) -> DataFrame:
-    """``(term, stemmed)`` for every distinct term of ``counts``; an n-gram
-    is stemmed word by word."""
-    terms = counts.select("term").filter(F.col("term").isNotNull()).distinct()
-    parts = terms.select("term", F.posexplode(F.split("term", " ")).alias("pos", "word"))
-    stems = stem_words(parts.select("word").distinct(), stem)
-    joined = parts.join(stems, "word")
-    w = Window.partitionBy("term").orderBy("pos")
-    return (
-        joined.withColumn("_l", F.collect_list("stem").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .select("term", F.array_join("_l", " ").alias("stemmed"))
-        .distinct()
-    )
-
-
-def stem_counts(counts: DataFrame, stem: Callable[[str], str], keep, stopwords=None, outer: bool = False) -> DataFrame:
-    """Replace ``term`` by its stem and re-sum ``f`` per (keep, stem)."""
-    keep = list(keep)
-    tmap = term_stem_map(counts, stem).cache()
-    n = tmap.count()
-    j = counts.join(maybe_broadcast(tmap, n, BROADCAST_TERM_MAP_ROWS), "term", "left" if outer else "inner")
-    if stopwords:
-        stop = list(stopwords)
-        j = j.filter(F.col("stemmed").isNull() | ~F.col("stemmed").isin(stop))
-    return j.groupBy(*keep, F.col("stemmed").alias("term")).agg(F.sum("f").alias("f"))
+    """``(word)`` -> ``(word, stem)``."""
+    return words.select("word", F.get(stem_tokens(stem)(F.array("word")), 0).alias("stem"))

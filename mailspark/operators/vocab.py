@@ -17,23 +17,24 @@ from mailspark.config import VectorizerConfig
 from mailspark.operators.ranking import bucketed_row_number
 from mailspark.operators.terms import class_term_stats
 
-# A vocabulary up to this many terms is broadcast; beyond it the joins
-# against it are left to a shuffle join (AQE may still convert them).
-BROADCAST_VOCAB_ROWS = 2_000_000
-WGL_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+def count_ranks(stats: DataFrame, k: int, group: list[str]) -> DataFrame:
+    """``group + (c, rk)``: the rank of each corpus frequency that a group's
+    top K holds. Frequencies are counted first, so the window sees a group's
+    distinct frequencies, not its terms; at most K rows per group are left."""
+    counted = stats.groupBy(*group, "c").agg(F.count(F.lit(1)).alias("_n"))
+    larger = Window.partitionBy(*group).orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.coalesce(F.sum("_n").over(larger), F.lit(0)) + 1
+    return counted.select(*group, "c", rank.alias("rk")).filter(F.col("rk") <= k)
 
 
 def class_topk(stats: DataFrame, k: int, class_col: str = "label") -> DataFrame:
     """Rows of ``(label, term, c, ...)`` whose class rank by ``c`` is at
-    most K; ``rank`` keeps every term tied at the cut. Spark plans this as a
-    WindowGroupLimit with a partial limit before the shuffle (K <= 1000 by
-    default), so only the local top-K of each task reaches the class window."""
-    conf = stats.sparkSession.conf
-    if k > int(conf.get(WGL_THRESHOLD, "1000")):
-        # keep the partial per-task limit for large K as well
-        conf.set(WGL_THRESHOLD, str(k))
-    w = Window.partitionBy(class_col).orderBy(F.desc("c"))
-    return stats.withColumn("rk", F.rank().over(w)).filter(F.col("rk") <= k)
+    most K; every term tied at the cut is kept. No task sees a whole class:
+    the ranks of the frequencies (at most K per class, so broadcast) are
+    joined to the terms in place."""
+    ranks = count_ranks(stats, k, [class_col])
+    return stats.join(F.broadcast(ranks), [class_col, "c"])
 
 
 def vocab_terms(stats: DataFrame, k: int, class_col: str = "label") -> DataFrame:
@@ -41,10 +42,6 @@ def vocab_terms(stats: DataFrame, k: int, class_col: str = "label") -> DataFrame
     return class_topk(stats, k, class_col).select("term").distinct()
 
 
-def maybe_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
-
-
 @dataclass
 class Vocabulary:
     """A fitted vectorizer: ``table(term, idx, df, n_train)`` plus settings."""
@@ -55,7 +52,8 @@ class Vocabulary:
     size: int
 
     def joinable(self) -> DataFrame:
-        return maybe_broadcast(self.table, self.size)
+        """The table is cached, so Spark knows its bytes and picks the join."""
+        return self.table
 
     def unpersist(self):
         self.table.unpersist()
@@ -74,12 +72,9 @@ def fit_vocabulary(train_counts: DataFrame, n_train: int, cfg: VectorizerConfig,
         stats = class_term_stats(train_counts).persist(StorageLevel.MEMORY_AND_DISK)
     terms = vocab_terms(stats, cfg.words_to_keep).persist(StorageLevel.MEMORY_AND_DISK)
     size = terms.count()
-    df_ = stats.join(maybe_broadcast(terms, size), "term").groupBy("term").agg(F.sum("d").alias("df"))
-    if size <= BROADCAST_VOCAB_ROWS:
-        # a table of measured, bounded size: one sorted partition is cheapest
-        indexed = df_.withColumn("_rn", F.row_number().over(Window.orderBy("term")))
-    else:
-        indexed = bucketed_row_number(df_.withColumn("_h", F.md5("term")), [], "_h", "term", out="_rn")
+    df_ = stats.join(terms, "term").groupBy("term").agg(F.sum("d").alias("df"))
+    # any dense number will do; one rule at every size, without a global sort
+    indexed = bucketed_row_number(df_.withColumn("_h", F.md5("term")), [], "_h", "term", out="_rn")
     table = indexed.select(
         "term",
         (F.col("_rn") - 1).cast("int").alias("idx"),
@@ -114,35 +109,33 @@ def transform(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
 def fit_fold_vocabularies(fold_stats: DataFrame, n_by_fold: dict, cfg: VectorizerConfig, n_folds: int) -> dict:
     """W1 + A3 for every "all folds but i" training set in one job.
 
-    ``fold_stats`` is ``(fold, label, term, c, d)``. Each row is sent to the
-    holds it trains (every fold but its own) by an in-row ``explode``, so one
-    aggregation gives the statistics of all k training sets; the top-K and the
-    index are then taken per (hold, class) and per hold. Returns ``{i:
-    Vocabulary}``, each a filter of one cached table; equal to calling
-    ``fit_vocabulary`` once per fold."""
-    holds = F.filter(F.array(*[F.lit(i) for i in range(n_folds)]), lambda h: h != F.col("fold"))
+    ``fold_stats`` is ``(fold, label, term, c, d)``. One aggregation per (label,
+    term) keeps the folds' shares side by side; the statistics of "all but i"
+    are the total less share i, taken after it. The top-K cut is shared by all
+    holds of one pass. Returns ``{i: Vocabulary}``, each a filter of one cached
+    table; equal to calling ``fit_vocabulary`` once per fold."""
+    part = lambda x, i: F.coalesce(F.sum(F.when(F.col("fold") == i, F.col(x))), F.lit(0))
+    shares = [F.struct(part("c", i).alias("c"), part("d", i).alias("d")) for i in range(n_folds)]
+    whole = fold_stats.groupBy("label", "term").agg(F.sum("c").alias("_c"), F.sum("d").alias("_d"), F.array(*shares).alias("_shares"))
     st = (
-        fold_stats.select(F.explode(holds).alias("hold"), "label", "term", "c", "d")
-        .groupBy("hold", "label", "term")
-        .agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+        whole.select("label", "term", "_c", "_d", F.posexplode("_shares").alias("hold", "_s"))
+        .select("hold", "label", "term", (F.col("_c") - F.col("_s.c")).alias("c"), (F.col("_d") - F.col("_s.d")).alias("d"))
+        .filter("d > 0")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    k = cfg.words_to_keep
-    conf = fold_stats.sparkSession.conf
-    if k > int(conf.get(WGL_THRESHOLD, "1000")):
-        conf.set(WGL_THRESHOLD, str(k))
-    ranked = st.withColumn("rk", F.rank().over(Window.partitionBy("hold", "label").orderBy(F.desc("c"))))
-    terms = ranked.filter(F.col("rk") <= k).select("hold", "term").distinct()
+    ranks = count_ranks(st, cfg.words_to_keep, ["hold", "label"])  # at most K rows per hold and class
+    terms = st.join(F.broadcast(ranks), ["hold", "label", "c"]).select("hold", "term").distinct()
     df_ = st.join(terms, ["hold", "term"]).groupBy("hold", "term").agg(F.sum("d").alias("df"))
     n_total = sum(n_by_fold.values())
     n_hold = F.lit(n_total) - F.coalesce(
         *[F.when(F.col("hold") == i, F.lit(int(n_by_fold.get(i, 0)))) for i in range(n_folds)], F.lit(0)
     )
-    # each hold's vocabulary is bounded like a single fit's; indexing within a hold
-    idx = F.row_number().over(Window.partitionBy("hold").orderBy("term")) - 1
-    table = df_.select(
-        "hold", "term", idx.cast("int").alias("idx"), F.col("df").cast("long").alias("df"), n_hold.cast("long").alias("n_train")
+    indexed = bucketed_row_number(df_.withColumn("_h", F.md5("term")), ["hold"], "_h", "term", out="_rn", prefix_len=2)
+    table = indexed.select(
+        "hold", "term", (F.col("_rn") - 1).cast("int").alias("idx"), F.col("df").cast("long").alias("df"), n_hold.cast("long").alias("n_train")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {r["hold"]: r["n"] for r in table.groupBy("hold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    st.unpersist()
     out = {}
     for i in range(n_folds):
         t = table.filter(F.col("hold") == i).drop("hold")

@@ -10,7 +10,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailspark.config import VectorizerConfig
+from mailspark.config import VectorizerConfig, tfidf_preset
 from mailspark.functions import text as T
 from mailspark.functions.tokens import ngram12_tokens, word_tokens
 from mailspark.operators import split as S
@@ -88,8 +88,8 @@ def q_parse_file_name(spark, sf):
 def _file_name_expr():
     # names derived from the row itself: German documents get an invalid
     # month, Spanish ones a two-part name, the rest a full mail-style name
-    day = F.date_add(F.lit("2003-01-01").cast("date"), F.least(F.col("n_chars"), F.lit(3650)).cast("int"))
-    bad = F.concat(F.lit("2003-13-"), F.lpad(F.least(F.col("n_chars"), F.lit(28)).cast("string"), 2, "0"))
+    day = F.date_add(F.lit("2003-01-01").cast("date"), F.pmod(F.col("n_chars"), F.lit(3651)).cast("int"))
+    bad = F.concat(F.lit("2003-13-"), F.lpad((F.pmod(F.col("n_chars"), F.lit(28)) + 1).cast("string"), 2, "0"))
     date_s = F.when(F.col("lang") == "de", bad).otherwise(F.date_format(day, "yyyy-MM-dd"))
     full = F.concat_ws(".", F.lpad(F.col("doc_id").cast("string"), 4, "0"), date_s, F.col("source"), F.col("lang"), F.lit("txt"))
     short = F.concat_ws(".", F.col("doc_id").cast("string"), F.lit("txt"))
@@ -97,8 +97,8 @@ def _file_name_expr():
 
 
 def _file_name_sql():
-    day = "strftime(DATE '2003-01-01' + CAST(least(n_chars, 3650) AS INTEGER), '%Y-%m-%d')"
-    bad = "'2003-13-' || lpad(CAST(least(n_chars, 28) AS VARCHAR), 2, '0')"
+    day = "strftime(DATE '2003-01-01' + CAST(n_chars % 3651 AS INTEGER), '%Y-%m-%d')"
+    bad = "'2003-13-' || lpad(CAST(n_chars % 28 + 1 AS VARCHAR), 2, '0')"
     date_s = f"CASE WHEN lang = 'de' THEN {bad} ELSE {day} END"
     full = f"concat_ws('.', lpad(CAST(doc_id AS VARCHAR), 4, '0'), {date_s}, source, lang, 'txt')"
     short = "concat_ws('.', CAST(doc_id AS VARCHAR), 'txt')"
@@ -169,6 +169,21 @@ def q_weights_tfidf_stop(spark, sf):
     return V.transform(counts, vocab).select("doc_id", "term", _r(F.col("weight"), "weight"))
 
 
+def q_weights_tfidf_bigrams_stop(spark, sf):
+    """2-grams of the text as written, then the stopword test on the term."""
+    cfg = VectorizerConfig(words_to_keep=K_DEFAULT, bigrams=True, stopwords=_stop())
+    counts, vocab = _fit(spark, sf, cfg)
+    return V.transform(counts, vocab).select("doc_id", "term", _r(F.col("weight"), "weight"))
+
+
+def q_stem_terms(spark, sf):
+    """T4: the distinct words of all documents and their stems (the "S" stemmer)."""
+    from mailspark.operators.stemming import s_stem, stem_words
+
+    words = _doc_token_arrays(spark, sf).select(F.explode("t").alias("word")).distinct()
+    return stem_words(words, s_stem)
+
+
 def q_class_term_counts(spark, sf):
     return TM.class_term_stats(_counts(spark, sf)).select("label", "term", "c", "d")
 
@@ -190,11 +205,13 @@ def _fit(spark, sf, cfg):
 
 
 def q_vocab_size(spark, sf):
-    rows = []
-    for k in (100, 250, 500, 1000):
-        _, vocab = _fit(spark, sf, VectorizerConfig(words_to_keep=k))
-        rows.append((k, vocab.size))
-    return spark.createDataFrame(rows, "k INT, vocab_size BIGINT")
+    """A6 for every K from one pass: a term's best rank over the classes tells from which K on it is in."""
+    ks = (100, 250, 500, 1000)
+    st = TM.class_term_stats(_counts(spark, sf))
+    best = V.class_topk(st, max(ks)).groupBy("term").agg(F.min("rk").alias("rk"))
+    sizes = best.agg(*(F.count(F.when(F.col("rk") <= k, 1)).alias(f"k{k}") for k in ks))
+    rows = F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("vocab_size")) for k in ks))
+    return sizes.select(F.inline(rows))
 
 
 def _weights(spark, sf, kind, k=K_DEFAULT):
@@ -243,7 +260,7 @@ FIXTURE_INTERCEPT = -1.0
 
 
 def _split_parts(spark, sf):
-    parts = S.stratified_split(_labelled(spark, sf).select("doc_id", "text", "label")).persist()
+    parts = S.stratified_split(_labelled(spark, sf).select("doc_id", "text", "label"))
     train = parts.filter(F.col("part") == "train").select("doc_id", "text", "label")
     test = parts.filter(F.col("part") == "test").select("doc_id", "text", "label")
     return train, test
@@ -280,7 +297,7 @@ def _fixture_model(spark, sf):
     terms = vocab.table.join(ratio, "term").select(
         "term", F.log(F.col("n_train").cast("double") / F.col("df").cast("double")).alias("idf"), "coef"
     )
-    return V.maybe_broadcast(terms, vocab.size), test, cfg
+    return terms, test, cfg
 
 
 def _fixture_predictions(spark, sf):
@@ -289,9 +306,22 @@ def _fixture_predictions(spark, sf):
     return M.score_counts(counts, terms, FIXTURE_INTERCEPT, cfg.weighting, keep=("doc_id", "label"))
 
 
+def _all_predictions(spark, sf):
+    """Every row of ``documents`` scored by the fixture model, labelled or not."""
+    terms, _, cfg = _fixture_model(spark, sf)
+    counts = TM.doc_term_counts(documents(spark, sf, "doc_id", "text"), cfg, outer=True)
+    return M.score_counts(counts, terms, FIXTURE_INTERCEPT, cfg.weighting, keep=("doc_id",))
+
+
 def q_score_docs(spark, sf):
-    p = _fixture_predictions(spark, sf)
-    return p.select("doc_id", "label", _r(F.col("margin"), "margin"), _r(F.col("probability"), "probability"), "prediction")
+    p = _all_predictions(spark, sf)
+    return p.select("doc_id", _r(F.col("margin"), "margin"), _r(F.col("probability"), "probability"), "prediction")
+
+
+def q_score_raw_text(spark, sf):
+    """M5: the output line of every raw text, ``<label>, "<escaped text>"``."""
+    p = _all_predictions(spark, sf).join(documents(spark, sf, "doc_id", "text"), "doc_id")
+    return p.select("doc_id", T.raw_text_line("prediction", "text").alias("line"))
 
 
 def q_confusion_matrix(spark, sf):
@@ -304,24 +334,21 @@ def q_quality_report(spark, sf):
 
 def q_prediction_lines(spark, sf):
     """``<label>, "<file name>"`` per scored document."""
-    p = _fixture_predictions(spark, sf)
+    p = _all_predictions(spark, sf)
     names = table(spark, sf, "documents").select("doc_id", _file_name_expr().alias("file_name"))
     return p.join(names, "doc_id").select("doc_id", T.prediction_line("prediction", "file_name").alias("line"))
 
 
 def q_score_stream(spark, sf):
-    """ST1: the fixture-model scoring of the test part as a Structured
-    Streaming query (Parquet file source, stream-static join to the test
-    ids, foreachBatch scorer, availableNow trigger); must equal the batch
-    result of ``score_docs``."""
+    """ST1: the fixture-model scoring of all documents as a Structured Streaming
+    query (Parquet file source, foreachBatch scorer, availableNow trigger); must
+    equal the batch result of ``score_docs``."""
     from mailspark.operators.model import TextModel
     from mailspark.session import scratch_table_path
     from mailspark.streaming.score_stream import start_scoring
 
-    terms, test, cfg = _fixture_model(spark, sf)
-    terms = terms.cache()
-    model = TextModel(terms, FIXTURE_INTERCEPT, 0, 0.0, cfg, terms.count())
-    test_ids = test.select("doc_id", "label").cache()
+    terms, _, cfg = _fixture_model(spark, sf)
+    model = TextModel(terms, FIXTURE_INTERCEPT, 0, 0.0, cfg, 0)
     schema = table(spark, sf, "documents").schema
     stream = (
         spark.readStream.schema(schema)
@@ -329,21 +356,19 @@ def q_score_stream(spark, sf):
         .option("maxFilesPerTrigger", 1)
         .parquet(sf)
         .select("doc_id", "text")
-        .join(test_ids, "doc_id")
     )
     out = scratch_table_path(spark, "score-stream")
-    q = start_scoring(stream, model, out, keep=("doc_id", "label"), available_now=True)
+    q = start_scoring(stream, model, out, keep=("doc_id",), available_now=True)
     q.awaitTermination()
     res = spark.read.parquet(out)
-    return res.select("doc_id", "label", _r(F.col("margin"), "margin"), _r(F.col("probability"), "probability"), "prediction")
+    return res.select("doc_id", _r(F.col("margin"), "margin"), _r(F.col("probability"), "probability"), "prediction")
 
 
 def q_holdout_quality(spark, sf):
-    """M6 with the reference's preset settings apart from the stemmer and
-    stopwords (K=1000, TF-IDF, ridge 10)."""
+    """M6 with the preset (stopwords, K=1000, TF-IDF, ridge 10), apart from the stemmer."""
     from mailspark.plans.train import holdout_quality
 
-    rep = holdout_quality(_labelled(spark, sf), VectorizerConfig(words_to_keep=K_DEFAULT), ridge=10.0)
+    rep = holdout_quality(_labelled(spark, sf), tfidf_preset(), ridge=10.0)
     return rep.select("class", "metric", _r(F.col("value"), "value"))
 
 
@@ -351,7 +376,7 @@ def q_train_model(spark, sf):
     """M3: refit on all labelled docs; the model term table."""
     from mailspark.plans.train import train_final
 
-    m = train_final(_labelled(spark, sf), VectorizerConfig(words_to_keep=K_DEFAULT), ridge=10.0)
+    m = train_final(_labelled(spark, sf), tfidf_preset(), ridge=10.0)
     return m.terms.select("term", "idx", _r(F.col("idf"), "idf"), _r(F.col("coef"), "coef"))
 
 
@@ -359,20 +384,12 @@ FIT_PARALLELISM = 8
 SMALL_GRID = dict(vectorizers=("BINARY", "TF_IDF"), words_to_keep=(1000,), ridges=(1e-2, 10.0), n_folds=3)
 
 
-_GRID_MEMO: dict = {}
-
-
 def q_grid_search(spark, sf):
-    """M8 on a small grid (the full 96-point grid is the GridSpec default).
-    The small result table is kept per session and data folder, so
-    ``best_config`` does not rerun the grid."""
+    """M8 on a small grid (the full 96-point grid is the GridSpec default)."""
     from mailspark.config import GridSpec
     from mailspark.plans.tune import grid_search
 
-    key = (id(spark), sf, _LABEL.get())
-    if key not in _GRID_MEMO:
-        _GRID_MEMO[key] = grid_search(_labelled(spark, sf), GridSpec(**SMALL_GRID), parallelism=FIT_PARALLELISM).cache()
-    g = _GRID_MEMO[key]
+    g = grid_search(_labelled(spark, sf), GridSpec(**SMALL_GRID), parallelism=FIT_PARALLELISM)
     return g.select("vectorizer", "vec_ord", "k", "ridge", "vocab_size", _r(F.col("f_spam"), "f_spam"))
 
 
@@ -383,9 +400,8 @@ def q_cv_f_measure(spark, sf):
     from mailspark.plans.tune import cross_validate
 
     train, _ = _split_parts(spark, sf)
-    folded = train.join(S.train_folds(train, N_FOLDS), "doc_id").cache()
-    res = cross_validate(folded, VectorizerConfig(words_to_keep=K_DEFAULT), [K_DEFAULT], [10.0], N_FOLDS, 500, parallelism=FIT_PARALLELISM)
-    folded.unpersist()
+    folded = train.join(S.train_folds(train, N_FOLDS), "doc_id")
+    res = cross_validate(folded, tfidf_preset(), [K_DEFAULT], [10.0], N_FOLDS, 500, parallelism=FIT_PARALLELISM)
     rows = [(int(k), float(r), int(v), None if f is None else round(float(f), 6)) for _, k, r, v, f in res]
     return spark.createDataFrame(rows, "k INT, ridge DOUBLE, vocab_size BIGINT, f_spam DOUBLE")
 
@@ -422,6 +438,8 @@ def _base_queries():
         "term_counts": q_term_counts,
         "remove_stopwords": q_remove_stopwords,
         "weights_tfidf_stop": q_weights_tfidf_stop,
+        "weights_tfidf_bigrams_stop": q_weights_tfidf_bigrams_stop,
+        "stem_terms": q_stem_terms,
         "class_term_counts": q_class_term_counts,
         "doc_freq": q_doc_freq,
         "class_topk_vocab": q_class_topk_vocab,
@@ -436,6 +454,7 @@ def _base_queries():
         "stratified_folds": q_stratified_folds,
         "transform_holdout": q_transform_holdout,
         "score_docs": q_score_docs,
+        "score_raw_text": q_score_raw_text,
         "confusion_matrix": q_confusion_matrix,
         "quality_report": q_quality_report,
         "prediction_lines": q_prediction_lines,
@@ -519,6 +538,9 @@ def _base_sql():
         "CASE WHEN tot <> 0 THEN (hh + ss) / tot END AS po, "
         "CASE WHEN tot <> 0 THEN ((hh + hs) * (hh + sh) + (sh + ss) * (hs + ss)) / (tot * tot) END AS pe FROM mx)",
     ]) + " "
+    # every document, not the test part alone
+    everything = fixture.replace("te AS (SELECT doc_id, text, label FROM sp WHERE part = 'test')", "te AS (SELECT doc_id, text, NULL::VARCHAR AS label FROM documents)")
+    scored = everything + "SELECT doc_id, round(margin, 6) AS margin, round(probability, 6) AS probability, prediction FROM pr"
     quality = fixture + (
         "SELECT NULL::VARCHAR AS class, 'accuracy' AS metric, round(100.0 * po, 6) AS value FROM my UNION ALL "
         "SELECT NULL, 'kappa', round(CASE WHEN 1 - pe <> 0 THEN (po - pe) / (1 - pe) END, 6) FROM my UNION ALL "
@@ -537,11 +559,12 @@ def _base_sql():
     )
     return {
         "transform_holdout": transform_holdout,
-        "score_docs": fixture + "SELECT doc_id, label, round(margin, 6) AS margin, round(probability, 6) AS probability, prediction FROM pr",
-        "score_stream": fixture + "SELECT doc_id, label, round(margin, 6) AS margin, round(probability, 6) AS probability, prediction FROM pr",
+        "score_docs": scored,
+        "score_stream": scored,
+        "score_raw_text": everything + "SELECT pr.doc_id, pr.prediction || ', \"' || replace(d.text, '\\\"', '\\\\\"') || '\"' AS line FROM pr JOIN documents d ON pr.doc_id = d.doc_id",
         "confusion_matrix": fixture + "SELECT label, prediction, n FROM cm",
         "quality_report": quality,
-        "prediction_lines": fixture + f"SELECT pr.doc_id, pr.prediction || ', \"' || nm.file_name || '\"' AS line FROM pr JOIN (SELECT doc_id, {_file_name_sql()} AS file_name FROM documents) nm ON pr.doc_id = nm.doc_id",
+        "prediction_lines": everything + f"SELECT pr.doc_id, pr.prediction || ', \"' || nm.file_name || '\"' AS line FROM pr JOIN (SELECT doc_id, {_file_name_sql()} AS file_name FROM documents) nm ON pr.doc_id = nm.doc_id",
         "clean_text": f"SELECT doc_id, {Q.clean_text('text')} AS clean FROM documents",
         "clean_conversations": f"SELECT conv_id, turn, {Q.clean_text('text')} AS clean FROM conversations",
         "strip_emails": f"SELECT doc_id, {Q.strip_emails('text')} AS out FROM documents",
@@ -576,6 +599,13 @@ def _base_sql():
         "remove_stopwords": _with(_ld(), Q.term_counts_cte(stopwords=_stop())) + "SELECT doc_id, label, term, f FROM tc",
         "weights_tfidf_stop": _with(_ld(), Q.term_counts_cte(stopwords=_stop()), Q.vocab_cte(K_DEFAULT))
         + f"SELECT tc.doc_id, tc.term, round({Q.weight_sql('TF_IDF', 'tc.f', 'vocab.df', 'vocab.n_train')}, 6) AS weight FROM tc JOIN vocab ON tc.term = vocab.term",
+        "weights_tfidf_bigrams_stop": _with(_ld(), Q.term_counts_cte(bigrams=True, stopwords=_stop()), Q.vocab_cte(K_DEFAULT))
+        + f"SELECT tc.doc_id, tc.term, round({Q.weight_sql('TF_IDF', 'tc.f', 'vocab.df', 'vocab.n_train')}, 6) AS weight FROM tc JOIN vocab ON tc.term = vocab.term",
+        "stem_terms": (
+            "SELECT word, CASE WHEN regexp_matches(word, '([^ae]|^)ies$') THEN left(word, -3) || 'y' WHEN regexp_matches(word, '([^aeo]|^)es$') THEN left(word, -1) "
+            "WHEN regexp_matches(word, '([^us]|^)s$') THEN left(word, -1) ELSE word END AS stem FROM "
+            f"(SELECT DISTINCT unnest({Q.word_tokens(Q.clean_text('text'))}) AS word FROM documents)"
+        ),
         "weights_binary": _weights_sql("BINARY"),
         "weights_tf": _weights_sql("TF"),
         "weights_tfidf": _weights_sql("TF_IDF"),

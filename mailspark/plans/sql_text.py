@@ -6,8 +6,15 @@ thing as the matching Spark operator on the driver's views.
 
 from __future__ import annotations
 
-from mailspark.functions.text import EMAIL_PATTERN, NON_ALPHABET_PATTERN, NUMBER_PATTERN, URL_PATTERN, WHITESPACE_PATTERN
-from mailspark.functions.tokens import TOKEN_DELIMITERS
+import re
+
+# The patterns are written out here again, so that a wrong one in the operators shows.
+EMAIL_PATTERN = r"\S+@\S+\.\S+"
+URL_PATTERN = r"https?://\S+"
+NUMBER_PATTERN = r"\b[0-9]+\b"
+NON_ALPHABET_PATTERN = r"[^a-zA-Záéíóúñü' ]"
+WHITESPACE_PATTERN = r"\s+"
+TOKEN_DELIMITERS = "[ ']+"
 
 
 def q(s: str) -> str:
@@ -61,15 +68,19 @@ def term_counts_cte(bigrams: bool = False, stopwords=None, src: str = "ld", pref
     """CTEs ``tk`` (doc_id, label, tokens) and ``tc`` (doc_id, label, term, f),
     names prefixed by ``prefix``."""
     toks = word_tokens(clean_text("text"))
-    if stopwords:
-        lst = ", ".join(q(w) for w in stopwords)
-        toks = f"list_filter({toks}, lambda w: NOT list_contains([{lst}], w))"
     p = prefix
     tk = f"{p}tk0 AS (SELECT doc_id, label, {toks} AS tokens FROM {src})"
     if bigrams:
-        tk += f", {p}tk AS (SELECT doc_id, label, {ngram12('tokens')} AS tokens FROM {p}tk0)"
+        tk += f", {p}tk1 AS (SELECT doc_id, label, {ngram12('tokens')} AS tokens FROM {p}tk0)"
+    else:
+        tk += f", {p}tk1 AS (SELECT * FROM {p}tk0)"
+    if stopwords:
+        # the test is on the term, so 2-grams are built first and stay as the text has them
+        parts = sorted({w for entry in stopwords for w in re.split("[ ']+", entry.lower()) if w})
+        lst = ", ".join(q(w) for w in parts)
+        tk += f", {p}tk AS (SELECT doc_id, label, list_filter(tokens, lambda w: NOT list_contains([{lst}], w)) AS tokens FROM {p}tk1)"
     else:
-        tk += f", {p}tk AS (SELECT * FROM {p}tk0)"
+        tk += f", {p}tk AS (SELECT * FROM {p}tk1)"
     return (
         tk + f", {p}tc AS (SELECT doc_id, label, term, count(*)::BIGINT AS f FROM "
         f"(SELECT doc_id, label, unnest(tokens) AS term FROM {p}tk) GROUP BY doc_id, label, term)"

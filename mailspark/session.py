@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.mailspark.spreadSmallScans", "true")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
@@ -36,11 +37,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it; we only set our own when it is unset (tests, local
-    bench), under a fresh temporary folder.
+    The cluster sets it. A local session without it (tests, bench) gets a
+    temporary folder; on a cluster an unset folder is an error.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="mailspark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     try:
@@ -57,10 +61,6 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/mailspark/{name}-{uuid.uuid4().hex}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
 def hadoop_path_exists_dir(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists and is a directory, checked through the
     Hadoop FileSystem API so it works for any cluster file system."""
@@ -76,5 +76,4 @@ __all__ = [
     "ensure_checkpoint_dir",
     "scratch_table_path",
     "hadoop_path_exists_dir",
-    "is_local_path",
 ]

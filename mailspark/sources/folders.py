@@ -32,10 +32,19 @@ def _empty_txt_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
     out = []
-    for st in fs.listStatus(p):
+    hidden = 0
+    listing = fs.listStatusIterator(p)
+    while listing.hasNext():
+        st = listing.next()
         name = st.getPath().getName()
-        if st.isFile() and st.getLen() == 0 and name.endswith(".txt") and not name.startswith(("_", ".")):
-            out.append((st.getPath().toString(), name))
+        if not st.isFile() or not name.endswith(".txt"):
+            continue
+        if name.startswith(("_", ".")):
+            hidden += 1
+        elif st.getLen() == 0:
+            out.append((st.getPath().toUri().toString(), name))  # the form that the scan's file_path has
+    if hidden:
+        log.warning("mail folder %s: %d files are hidden by their names and not read", path, hidden)
     return out
 
 

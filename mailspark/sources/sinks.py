@@ -23,10 +23,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def report_lines(report: DataFrame, ridge: float, words_to_keep: int, vectorizer: str = "TF_IDF") -> DataFrame:
+def report_lines(report: DataFrame, ridge: float, words_to_keep: int, vectorizer: str = "TF_IDF", confusion: DataFrame | None = None) -> DataFrame:
     """S6 as text: ``(n, value)`` lines of a quality report, the settings
     first, then accuracy, kappa, weighted F and per-class precision, recall
-    and F (the same facts as the reference's report file, in English).
+    and F, and the four cells of the ``confusion`` matrix where it is given.
     ``report`` is the long ``(class, metric, value)`` frame (a few rows)."""
     from pyspark.sql import functions as F
 
@@ -43,10 +43,14 @@ def report_lines(report: DataFrame, ridge: float, words_to_keep: int, vectorizer
     )
     label = F.when(F.col("class").isNull(), F.col("metric")).otherwise(F.concat_ws(" ", "class", "metric"))
     body = report.select(pos.cast("int").alias("n"), F.concat(label, F.lit(": "), F.coalesce(F.col("value").cast("string"), F.lit("NULL"))).alias("value"))
-    return head.unionByName(body)
+    out = head.unionByName(body)
+    if confusion is not None:
+        n = 30 + 2 * (F.col("label") == "spam").cast("int") + (F.col("prediction") == "spam").cast("int")
+        out = out.unionByName(confusion.select(n.alias("n"), F.concat(F.col("label"), F.lit(" classified as "), F.col("prediction"), F.lit(": "), F.col("n")).alias("value")))
+    return out
 
 
-def write_quality_report(report: DataFrame, path: str, ridge: float, words_to_keep: int, vectorizer: str = "TF_IDF") -> None:
-    """One small text file (the report has a fixed dozen lines, so a
+def write_quality_report(report: DataFrame, path: str, ridge: float, words_to_keep: int, vectorizer: str = "TF_IDF", confusion: DataFrame | None = None) -> None:
+    """One small text file (the report has a fixed number of lines, so a
     single ordered partition is a proven bound)."""
-    report_lines(report, ridge, words_to_keep, vectorizer).orderBy("n").coalesce(1).select("value").write.mode("overwrite").text(path)
+    report_lines(report, ridge, words_to_keep, vectorizer, confusion).orderBy("n").coalesce(1).select("value").write.mode("overwrite").text(path)

@@ -17,22 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+SPREAD_CONF = "spark.mailspark.spreadSmallScans"
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when the scan gives fewer partitions
-    than the cluster has cores (e.g. one large Parquet row group), so the
-    text work that follows runs on every core; a later join or group-by on
-    ``key`` reuses this partitioning. Well-split inputs are left as they are
-    (no extra shuffle at scale)."""
-    spark = df.sparkSession
-    try:
-        small = df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
-        small = False
-    return df.repartition(key) if small else df
+    """``df`` as it is, unless the session sets ``spark.mailspark.spreadSmallScans``
+    to true: then hash-partitioned on ``key``, for a local run over one large
+    Parquet row group that a single core would read. Never set on a cluster."""
+    on = df.sparkSession.conf.get(SPREAD_CONF, "false") == "true"
+    return df.repartition(key) if on else df
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    """The ``documents`` table with only ``cols`` read, spread on doc_id."""
+    """The ``documents`` table with only ``cols`` read."""
     return spread(table(spark, sf_dir, "documents").select(*(cols or ("doc_id", "text"))), "doc_id")
 
 

@@ -20,7 +20,8 @@ from mailspark.session import scratch_table_path
 
 def mail_folder_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming twin of S1: ``(doc_id, file_name, text)`` per new ``*.txt``
-    file (zero-length files are skipped by the file source, as in S1)."""
+    file. The file source skips zero-length files, which S1 adds back; a final
+    batch run over the folder scores them (``read_mail_folder``)."""
     r = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.txt")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -31,11 +31,26 @@ def test_in_row_counts_equal_group_by(spark, texts):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_topk_plan_has_partial_group_limit(spark):
+def test_topk_window_sees_frequencies_only(spark):
+    """The class window ranks counted frequencies: no task sees a class's terms, and no session setting changes."""
     counts = TM.doc_term_counts(labelled_docs(spark, "/root/testdata/sf0.001"), VectorizerConfig())
+    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", None)
     for k in (100, 5000):
-        plan = V.class_topk(TM.class_term_stats(counts), k)._jdf.queryExecution().executedPlan().toString()
-        assert "WindowGroupLimit" in plan and "Partial" in plan, k
+        plan = V.class_topk(TM.class_term_stats(counts), k)._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in plan.split("\n") if "Window " in line]
+        assert windows and not any("term" in line for line in windows), k
+    assert spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", None) == before
+
+
+def test_vocabulary_is_the_same_under_any_threshold(spark):
+    cfg = VectorizerConfig(words_to_keep=50)
+    counts = TM.doc_term_counts(labelled_docs(spark, "/root/testdata/sf0.001"), cfg)
+    tables = []
+    for most in ("-1", "100m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        tables.append(sorted(map(tuple, V.fit_vocabulary(counts, 80, cfg).table.collect())))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tables[0] == tables[1] and sorted(r[1] for r in tables[0]) == list(range(len(tables[0])))
 
 
 def test_scoring_plan_broadcasts_model(spark):

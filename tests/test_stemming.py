@@ -24,3 +24,24 @@ def test_stopwords_see_the_stem(spark):
     assert after == {"dog"}
     before = {r["term"] for r in TM.doc_term_counts(d, VectorizerConfig(stemmer=strip_s, stopwords=("cat",), stop_before_stem=True)).collect()}
     assert before == {"cat", "dog"}
+
+
+def test_documents_of_stopwords_alone_stay(spark):
+    d = spark.createDataFrame([(1, "the the", "ham"), (2, "free of charge", "spam")], "doc_id BIGINT, text STRING, label STRING")
+    for stemmer in ("none", strip_s):
+        c = TM.doc_term_counts(d, VectorizerConfig(stemmer=stemmer, stopwords=("the",)), outer=True).collect()
+        assert [(r["term"], r["f"]) for r in c if r["doc_id"] == 1] == [(None, None)]
+        assert {r["term"] for r in c if r["doc_id"] == 2} == {"free", "of", "charge"}
+
+
+def test_bigrams_never_jump_a_stopword(spark):
+    d = spark.createDataFrame([(1, "free of charge don't", "ham")], "doc_id BIGINT, text STRING, label STRING")
+    for stemmer in ("none", strip_s):
+        terms = {r["term"] for r in TM.doc_term_counts(d, VectorizerConfig(stemmer=stemmer, bigrams=True, stopwords=("of", "don't"))).collect()}
+        assert terms == {"free", "charge", "free of", "of charge", "charge don", "don t"}
+
+
+def test_s_stem():
+    from mailspark.operators.stemming import s_stem
+
+    assert [s_stem(w) for w in ("ponies", "houses", "cats", "bus", "glass", "goes", "aies", "s", "ies")] == ["pony", "house", "cat", "bus", "glass", "goe", "aie", "", "y"]

@@ -40,7 +40,7 @@ class PackConfig:
     bin: int = 8
     depth: int = 3
     part_rows: int = 20_000
-    words: int = 700_000
+    words: int = 100_000
 
 
 class WordIds(dict):
@@ -89,7 +89,7 @@ def pieces(docs: DataFrame, cfg: PackConfig, with_ids: bool = False) -> DataFram
         step = 4 * cfg.window
         for b in batches:
             texts = b.column(1).to_pylist()
-            for lo, hi in chunks(texts, 1_000_000):
+            for lo, hi in chunks(texts, 500_000):
                 split = [t.encode().split() if t else [] for t in texts[lo:hi]]
                 known.learn(set().union(*split))
                 which, start, length, crc, total, ids = [], [], [], [], [], []

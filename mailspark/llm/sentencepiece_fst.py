@@ -116,7 +116,7 @@ def read_model(path: str) -> Machines:
 class Transducer:
     """N, P and M of one model, and the shortest path of an input through them."""
 
-    def __init__(self, machines: Machines, words: int = 300_000):
+    def __init__(self, machines: Machines, words: int = 1_000_000):
         m = self.m = machines
         self.trie: dict = {}
         self.id_of: dict[str, int] = {}

@@ -10,7 +10,7 @@ Pieces take their places by rank: the r-th piece of a bin belongs to a known com
 bin are taken in hashed parts of some ten thousand pieces with the parts' counts summed before, so a length that a third of
 all documents share costs no task more than a part. Tokenising is one narrow pass; ids never move, their CRC is taken
 where they are made. Splitting at ASCII blanks first changes no id, as the tokenizer drops blanks and no token crosses
-them; words are remembered in a bounded cache.
+them; words are remembered in a bounded cache, and new ones' letters apart from the marks that follow them.
 
 Null text counts as empty: one piece, the end id alone. Repeated rows are packed each. Empty table: no rows. Extra columns
 are ignored.
@@ -18,7 +18,9 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,33 +42,76 @@ class PackConfig:
     bin: int = 8
     depth: int = 3
     part_rows: int = 20_000
-    words: int = 100_000
+    words: int = 300_000
 
 
-class WordIds(dict):
-    """word (bytes) -> its ids as little-endian 32-bit bytes; two generations of at most ``limit`` words."""
+MARKS = b"!\"#$%&'()*+,-./:;=?@[\\]^_`{|}~"  # every one is cut off after a letter
+
+
+class WordIds:
+    """``ids``: word (bytes) -> its ids as little-endian 32-bit bytes; two generations of at most ``limit`` words.
+
+    A new word that is letters and then ASCII marks is known by its two parts, as the tokenizer always cuts between them;
+    letters are remembered in lower case. Words of letters alone are encoded many at once, blanks between: each is then one
+    run of ids up to an id that ends a word. Where the counts don't agree, and for all other words, each is encoded alone."""
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.limit, self.old = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        # for lower-case ASCII letters, which the tokenizer's normaliser and cutter leave as they are
+        self.plain = Tokenizer.from_str(json.dumps(json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+        self.ids: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+
+    def unknown(self, words: set) -> set:
+        """Those of ``words`` that neither generation knows; what the old one knows moves to the new."""
+        new = words.difference(self.ids)
+        never = new.difference(self.old)
+        again = new - never
+        self.ids.update(zip(again, map(self.old.__getitem__, again)))
+        return never
 
     def learn(self, words: set) -> None:
-        """Makes all of ``words`` known; what is new is encoded in one batch."""
-        if len(self) + len(words) > self.limit:
-            self.old = dict(self)
-            self.clear()
-        new = []
-        for w in words:
-            if w not in self:
-                got = self.old.get(w)
-                if got is None:
-                    new.append(w)
-                else:
-                    self[w] = got
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
+        """Makes all of ``words`` known; what is new is encoded in batches."""
+        if len(self.ids) + len(words) > self.limit:
+            self.old, self.ids = self.ids, {}
+        split, letters, others = [], set(), set()
+        for w in self.unknown(words):
+            core = w.rstrip(MARKS)
+            if core.isalpha() or unicodedata.normalize("NFC", core.decode()).lower().isalpha():
+                low, tail = core.lower(), w[len(core) :]
+                letters.add(low)
+                if tail:
+                    others.add(tail)
+                if low != w:
+                    split.append((w, low, tail))
+            else:
+                others.add(w)
+        self.encode(list(self.unknown(others)))
+        new = list(self.unknown(letters))
+        for tokenizer, some in ((self.plain, list(filter(bytes.isascii, new))), (self.tokenizer, [w for w in new if not w.isascii()])):
+            for at in range(0, len(some), 1000):
+                self.encode_letters(tokenizer, some[at : at + 1000])
+        for w, low, tail in split:
+            self.ids[w] = self.ids[low] + self.ids[tail] if tail else self.ids[low]
+
+    def encode(self, words: list) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
+            self.ids[w] = np.array(e.ids, "<u4").tobytes()
+
+    def encode_letters(self, tokenizer, words: list) -> None:
+        ids = np.array(tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != len(words):
+            return self.encode(words)
+        data, stops = ids.tobytes(), (4 * ends + 4).tolist()
+        self.ids.update((w, data[lo:hi]) for w, lo, hi in zip(words, [0, *stops], stops))
 
 
 _KNOWN: dict[str, WordIds] = {}
@@ -94,7 +139,7 @@ def pieces(docs: DataFrame, cfg: PackConfig, with_ids: bool = False) -> DataFram
                 known.learn(set().union(*split))
                 which, start, length, crc, total, ids = [], [], [], [], [], []
                 for i, words in enumerate(split):
-                    data = b"".join(map(known.__getitem__, words)) + end
+                    data = b"".join(map(known.ids.__getitem__, words)) + end
                     for at in range(0, len(data), step):
                         part = data[at : at + step]
                         which.append(lo + i)

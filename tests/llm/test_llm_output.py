@@ -223,6 +223,18 @@ def check_packing(rows, ids, cfg):
     return sum(map(len, ids.values())) / (cfg.window * len(seqs))
 
 
+def test_word_ids_equal_the_tokenizer():
+    known = packing.WordIds(PACK.tokenizer, 500)
+    letters = [chr(i) for i in [*range(0x21, 0x3000), *range(0xFB00, 0xFB50), *range(0x1F00, 0x2000)]]
+    words = [w for c in letters for w in (c + ",", f"A{c}x'") if w.encode().split() == [w.encode()]]
+    words += ["<|ENDOFTEXT|>", "a<|endoftext|>.", "don't", "X'S", "''", "\u0391\u03a3!", "e\u0301,"]
+    for at in range(0, len(words), 400):
+        some = words[at : at + 400]
+        known.learn({w.encode() for w in some})
+        for w, e in zip(some, known.tokenizer.encode_batch(some, add_special_tokens=False)):
+            assert np.frombuffer(known.ids[w.encode()], "<u4").tolist() == e.ids, w
+
+
 def test_packing_sf(spark):
     df = spark.read.parquet(f"{SF01}/documents.parquet")
     data = df.select("doc_id", "text").collect()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's: the four weightings in their
@@ -38,7 +38,6 @@ class VectorizerConfig:
     stemmer: object = "none"  # "none" or a per-word function str -> str
     stopwords: tuple[str, ...] | None = None
     stop_before_stem: bool = False
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def __post_init__(self):
         if self.weighting not in ("BINARY", "TF", "TF_IDF"):

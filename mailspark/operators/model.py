@@ -13,9 +13,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from mailspark.config import MAX_ITER, VectorizerConfig
 from mailspark.functions.text import HAM, SPAM, decode_prediction, encode_label
@@ -24,12 +25,11 @@ from mailspark.operators.vocab import Vocabulary, weight_expr
 TOL = 1e-8
 
 
-def _sparse(size: int):
-    def build(idx, val):
-        return Vectors.sparse(size, idx, val)
-
-    # Arrow-batched Python UDF: the only per-row Python at training time
-    return F.udf(build, VectorUDT(), useArrow=True)
+def _sparse(size: int, indices, values):
+    """A sparse vector without Python: a vector's fields, read back by Spark as its vector type (doubles survive the text
+    form unchanged)."""
+    fields = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
+    return F.from_json(F.to_json(F.struct(fields.alias("v"))), StructType([StructField("v", VectorUDT())]))["v"]
 
 
 def doc_vectors(counts_outer: DataFrame, vocab: Vocabulary, keep=("doc_id", "label")) -> DataFrame:
@@ -44,8 +44,8 @@ def doc_vectors(counts_outer: DataFrame, vocab: Vocabulary, keep=("doc_id", "lab
     j = counts_outer.join(vocab.joinable(), "term", "left")
     w = weight_expr(vocab.cfg, F.col("f"), F.col("df"), F.col("n_train"))
     entry = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx").alias("i"), w.alias("v")))
-    grouped = j.groupBy(*keep).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
-    return grouped.select(*keep, _sparse(vocab.size)(F.col("_e.i"), F.col("_e.v")).alias("features"))
+    grouped = j.groupBy(*keep).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    return grouped.select(*keep, _sparse(vocab.size, F.col("_e.i"), F.col("_e.v")).alias("features"))
 
 
 def ridge_to_reg_param(ridge: float, n: int) -> float:

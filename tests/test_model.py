@@ -27,6 +27,19 @@ def test_zero_vector_scores_intercept(spark):
         assert s[i]["prediction"] == ("spam" if p0 > 0.5 else "ham")
 
 
+def test_vectors_need_no_python(spark):
+    docs = labelled_docs(spark, SF)
+    cfg = VectorizerConfig(words_to_keep=50)
+    counts = doc_term_counts(docs, cfg, outer=True)
+    vocab = fit_vocabulary(counts.filter(F.col("term").isNotNull()), docs.count(), cfg)
+    empty = spark.createDataFrame([(-1, "ham", None, None)], counts.select("doc_id", "label", "term", "f").schema)
+    vectors = doc_vectors(counts.select("doc_id", "label", "term", "f").unionByName(empty), vocab)
+    assert "Python" not in vectors._jdf.queryExecution().toString()
+    got = {r["doc_id"]: r["features"] for r in vectors.collect()}
+    assert got[-1].size == vocab.size and got[-1].numNonzeros() == 0
+    assert all((np.diff(v.indices) > 0).all() for v in got.values())
+
+
 def test_scoring_equals_spark_ml_and_save_load(spark):
     docs = labelled_docs(spark, SF)
     cfg = VectorizerConfig(words_to_keep=100)

@@ -10,7 +10,7 @@ Pieces take their places by rank: the r-th piece of a bin belongs to a known com
 bin are taken in hashed parts of some ten thousand pieces with the parts' counts summed before, so a length that a third of
 all documents share costs no task more than a part. Tokenising is one narrow pass; ids never move, their CRC is taken
 where they are made. Splitting at ASCII blanks first changes no id, as the tokenizer drops blanks and no token crosses
-them; words are remembered in a bounded cache, and new ones' letters apart from the marks that follow them.
+them; lower-cased words are remembered in a bounded cache, apart from the marks that follow them.
 
 Null text counts as empty: one piece, the end id alone. Repeated rows are packed each. Empty table: no rows. Extra columns
 are ignored.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -45,22 +46,29 @@ class PackConfig:
     words: int = 300_000
 
 
-MARKS = b"!\"#$%&'()*+,-./:;=?@[\\]^_`{|}~"  # every one is cut off after a letter
+MARK = re.compile(rb"[!-/:-@\[-`{-~](?<=[a-z].)", re.DOTALL)  # an ASCII mark after a letter
+WIDE = re.compile("[\u0130\u0250-\U0010ffff]")  # below these, lower-casing goes letter by letter and NFC changes nothing
 
 
 class WordIds:
     """``ids``: word (bytes) -> its ids as little-endian 32-bit bytes; two generations of at most ``limit`` words.
 
-    A new word that is letters and then ASCII marks is known by its two parts, as the tokenizer always cuts between them;
-    letters are remembered in lower case. Words of letters alone are encoded many at once, blanks between: each is then one
-    run of ids up to an id that ends a word. Where the counts don't agree, and for all other words, each is encoded alone."""
+    ``split`` cuts a text at blanks and between a letter and an ASCII mark, where the tokenizer always cuts, and lower-cases
+    it as the tokenizer would, so that few words differ. Words of letters alone are encoded many at once, blanks between:
+    each is then one run of ids up to an id that ends a word. Where the counts don't agree, and for all other words, each is
+    encoded alone."""
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        # for lower-case ASCII letters, which the tokenizer's normaliser and cutter leave as they are
-        self.plain = Tokenizer.from_str(json.dumps(json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+        rules = json.loads(self.tokenizer.to_str())
+        self.special = [t["content"].encode().lower() for t in rules.get("added_tokens") or []]
+        # for lower-case letters, which the tokenizer's normaliser and cutter leave as they are
+        bytes_ = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        cutter = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, bytes_]}
+        self.plain = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
+        self.latin = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": cutter}))
         self.ids: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -69,6 +77,14 @@ class WordIds:
         if suffix:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
 
+    def split(self, text: str) -> list[bytes]:
+        """The words of ``text``; a text that holds a special token, in any case, is cut at blanks alone."""
+        data = (text if text.isascii() or WIDE.search(text) else text.lower()).encode()
+        low = data.lower()
+        if any(map(low.__contains__, self.special)):
+            return text.encode().split()
+        return MARK.sub(rb" \g<0>", low).split()
+
     def unknown(self, words: set) -> set:
         """Those of ``words`` that neither generation knows; what the old one knows moves to the new."""
         new = words.difference(self.ids)
@@ -81,25 +97,22 @@ class WordIds:
         """Makes all of ``words`` known; what is new is encoded in batches."""
         if len(self.ids) + len(words) > self.limit:
             self.old, self.ids = self.ids, {}
-        split, letters, others = [], set(), set()
+        plain, latin, letters, others = [], [], [], []
         for w in self.unknown(words):
-            core = w.rstrip(MARKS)
-            if core.isalpha() or unicodedata.normalize("NFC", core.decode()).lower().isalpha():
-                low, tail = core.lower(), w[len(core) :]
-                letters.add(low)
-                if tail:
-                    others.add(tail)
-                if low != w:
-                    split.append((w, low, tail))
+            if w.isalpha() and w.islower():
+                plain.append(w)
+            elif w.isascii():
+                others.append(w)
             else:
-                others.add(w)
-        self.encode(list(self.unknown(others)))
-        new = list(self.unknown(letters))
-        for tokenizer, some in ((self.plain, list(filter(bytes.isascii, new))), (self.tokenizer, [w for w in new if not w.isascii()])):
+                s = w.decode()
+                if s.isalpha() and not WIDE.search(s) and s == s.lower():
+                    latin.append(w)
+                else:
+                    (letters if unicodedata.normalize("NFC", s).lower().isalpha() else others).append(w)
+        self.encode(others)
+        for tokenizer, some in ((self.plain, plain), (self.latin, latin), (self.tokenizer, letters)):
             for at in range(0, len(some), 1000):
                 self.encode_letters(tokenizer, some[at : at + 1000])
-        for w, low, tail in split:
-            self.ids[w] = self.ids[low] + self.ids[tail] if tail else self.ids[low]
 
     def encode(self, words: list) -> None:
         for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
@@ -135,7 +148,7 @@ def pieces(docs: DataFrame, cfg: PackConfig, with_ids: bool = False) -> DataFram
         for b in batches:
             texts = b.column(1).to_pylist()
             for lo, hi in chunks(texts, 500_000):
-                split = [t.encode().split() if t else [] for t in texts[lo:hi]]
+                split = [known.split(t) if t else [] for t in texts[lo:hi]]
                 known.learn(set().union(*split))
                 which, start, length, crc, total, ids = [], [], [], [], [], []
                 for i, words in enumerate(split):

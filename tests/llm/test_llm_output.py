@@ -1,6 +1,7 @@
 """Sharding, chat formatting, SentencePiece coding, packing: brute force, invariants and round trips."""
 
 import re
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -235,6 +236,20 @@ def test_word_ids_equal_the_tokenizer():
             assert np.frombuffer(known.ids[w.encode()], "<u4").tolist() == e.ids, w
 
 
+def test_split_texts_equal_the_tokenizer():
+    known = packing.WordIds(PACK.tokenizer, 2000)
+    rng = random.Random(3)
+    signs = "aAzZÉéßİıΣσ\u0338\u0301'st.,!<>|=9 \n×…日ǅreµª\u00a0\x1c"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(5000)]
+    texts += ["don't THEY'LL 'they a≠b <|endoftext|> x<|ENDOFTEXT|>y.", "İstanbul, ΑΣ. ΟΔΟΣ! é,É. …! naïve×÷a ªº.", "Kelvin \u212a, 日本語。テキスト! ﬁ ſt.", "", " "]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        split = [known.split(t) for t in some]
+        known.learn(set().union(*split))
+        for t, words, e in zip(some, split, known.tokenizer.encode_batch(some, add_special_tokens=False)):
+            assert np.frombuffer(b"".join(known.ids[w] for w in words), "<u4").tolist() == e.ids, t
+
+
 def test_packing_sf(spark):
     df = spark.read.parquet(f"{SF01}/documents.parquet")
     data = df.select("doc_id", "text").collect()

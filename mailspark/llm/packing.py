@@ -43,7 +43,7 @@ class PackConfig:
     bin: int = 8
     depth: int = 3
     part_rows: int = 20_000
-    words: int = 300_000
+    words: int = 200_000
 
 
 MARK = re.compile(rb"[!-/:-@\[-`{-~](?<=[a-z].)", re.DOTALL)  # an ASCII mark after a letter
@@ -67,8 +67,7 @@ class WordIds:
         # for lower-case letters, which the tokenizer's normaliser and cutter leave as they are
         bytes_ = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
         cutter = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, bytes_]}
-        self.plain = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}))
-        self.latin = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": cutter}))
+        self.plain = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": cutter}))
         self.ids: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -97,7 +96,7 @@ class WordIds:
         """Makes all of ``words`` known; what is new is encoded in batches."""
         if len(self.ids) + len(words) > self.limit:
             self.old, self.ids = self.ids, {}
-        plain, latin, letters, others = [], [], [], []
+        plain, letters, others = [], [], []
         for w in self.unknown(words):
             if w.isalpha() and w.islower():
                 plain.append(w)
@@ -106,11 +105,11 @@ class WordIds:
             else:
                 s = w.decode()
                 if s.isalpha() and not WIDE.search(s) and s == s.lower():
-                    latin.append(w)
+                    plain.append(w)
                 else:
                     (letters if unicodedata.normalize("NFC", s).lower().isalpha() else others).append(w)
         self.encode(others)
-        for tokenizer, some in ((self.plain, plain), (self.latin, latin), (self.tokenizer, letters)):
+        for tokenizer, some in ((self.plain, plain), (self.tokenizer, letters)):
             for at in range(0, len(some), 1000):
                 self.encode_letters(tokenizer, some[at : at + 1000])
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import chunks, starts
+from mailspark.llm.common import chunks, free_memory, starts, tidy
 
 
 @dataclass(frozen=True)
@@ -88,6 +88,7 @@ def subwords(texts: list, cfg: LangConfig) -> tuple[np.ndarray, np.ndarray, np.n
 def sparse_counts(sample: DataFrame, cfg: LangConfig) -> DataFrame:
     """``(doc_id, lang, bucket array, share array)`` of sampled documents, made by tasks."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
@@ -210,6 +211,7 @@ def judge(texts: list, model: LangModel | None, cfg: LangConfig) -> tuple[list,
 def predict(docs: DataFrame, model: LangModel | None, cfg: LangConfig = LangConfig()) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score, rejected)`` for every row of ``docs(doc_id, text)``."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, score, rejected = judge(b.column(1).to_pylist(), model, cfg)
@@ -229,6 +231,7 @@ def keep_identified(docs: DataFrame, cfg: LangConfig = LangConfig()) -> DataFram
 
     @F.pandas_udf("boolean")
     def accepted(text: pd.Series) -> pd.Series:
+        free_memory()
         return pd.Series(~judge(text.tolist(), model, cfg)[2], dtype=bool)
 
     return docs.where(accepted(F.col("text").cast("string")))

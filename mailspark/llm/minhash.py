@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import Cache, Stages, chunks, components, mix64, starts
+from mailspark.llm.common import Cache, Stages, chunks, components, mix64, starts, tidy
 
 
 @dataclass(frozen=True)
@@ -100,6 +100,7 @@ def int_lists(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
 def signatures(docs: DataFrame, cfg: MinMax) -> DataFrame:
     """``(doc_id, n, f1, f2, bands)``: set size, fingerprint and band hashes (empty for empty sets)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Cache(xxhash.xxh3_64_intdigest)
         for b in batches:
@@ -129,6 +130,7 @@ def signatures(docs: DataFrame, cfg: MinMax) -> DataFrame:
 def full_sets(docs: DataFrame, cfg: MinMax) -> DataFrame:
     """``(doc_id, shingles)``: the whole set, for confirming."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Cache(xxhash.xxh3_64_intdigest)
         for b in batches:
@@ -155,6 +157,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, cfg: MinMax) -> DataFrame:
 def sketches(sets: DataFrame, cfg: MinMax) -> DataFrame:
     """``(member, sketch)``: long signatures from full sets, one bit a value, 64 in a word."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 200):

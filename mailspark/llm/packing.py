@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import Stages, chunks
+from mailspark.llm.common import Stages, chunks, tidy
 
 
 @dataclass(frozen=True)
@@ -140,6 +140,7 @@ def word_ids(path: str, limit: int) -> WordIds:
 def pieces(docs: DataFrame, cfg: PackConfig, with_ids: bool = False) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens[, ids])``: one row per piece."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(cfg.tokenizer, cfg.words)
         end = np.array([cfg.end_id], "<u4").tobytes()

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import Cache, Stages, chunks, mix64
+from mailspark.llm.common import Cache, Stages, chunks, free_memory, mix64, tidy
 
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n)\s*|[^.!?\n]+$")
 WORD = re.compile(r"\s*\S+\s*")
@@ -85,6 +85,7 @@ def hashed_runs(parts: list[str], cfg: Spans) -> tuple[np.ndarray, np.ndarray]:
 def all_runs(docs: DataFrame, cfg: Spans) -> DataFrame:
     """``(h, doc_id, crc, at)``; ``at`` counts sentences that have a word."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         picked = picker(cfg)
         for b in batches:
@@ -151,6 +152,7 @@ def repeated_passages(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
     """``(doc_id, n_sentences, n_removed, removed, text)`` for every row of ``docs(doc_id, text)``: ``removed`` lists start:end
     in code points, ``text`` is what is left."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         picked = picker(cfg)
         for b in batches:
@@ -173,6 +175,7 @@ def without_repeats(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
 
     @F.pandas_udf("string")
     def left(text: pd.Series, starts: pd.Series) -> pd.Series:
+        free_memory()
         picked = picker(cfg)
         return pd.Series([cleaned(t, s, cfg, picked)[0] for t, s in zip(text, starts)], dtype=object)
 

@@ -1,15 +1,20 @@
-"""Repeated passages by sliding sentence spans (operator 10).
-
-Texts are cut into sentences: after ``.``, ``!`` or ``?``, at line ends, and, so that unpunctuated text is covered, after
-words picked by their own hash in sentences of more than ``long_words`` words. Each run of ``run`` consecutive sentences
-with ``least_words`` words or more is hashed (case and blanks folded). Runs are joined by hash over the whole corpus: the
-smallest (doc_id, text CRC, place) of a repeated run is its first, and sentences covered by any other are removed.
+"""Repeated passages by sliding spans of pieces of sentences (operator 10).
+
+Texts are cut between words (as ``split()`` sees them) into pieces of 4 to 8 words: ``least_words`` over ``run``, rounded up,
+and twice that. A cut lies where the key of two neighbouring words is the smallest within 3 words on either side; ends of sentences
+(``.``, ``!``, ``?`` or a line end) have smaller keys than all other places, so that sentences of 4 words or more begin and
+end pieces, shorter ones come together and longer ones are divided. A stretch of more than 8 words between such cuts is cut
+from its left at the smallest key that is 4 to 8 words on. A cut thus depends on the words around it alone, every word of a
+text of 17 words or more lies in some run, and copies of a passage have the same pieces but near their ends. Each run of
+``run`` consecutive pieces is hashed (case and blanks folded); it always has ``least_words`` words. Runs are joined by hash over
+the whole corpus: the smallest (doc_id, text CRC, place) of a repeated run is its first, and pieces covered by any other are
+removed.
 
 The runs are written once. Their first places are aggregated before the shuffle, and the join that finds the others is a
 plain shuffle join, so a passage that a third of all documents share is split. Per document only the places of its own
 runs come together.
 
-Null or empty text: no sentence, unchanged. Rows that repeat doc_id and text count as one document and get the same result.
+Null or empty text: no piece, unchanged. Rows that repeat doc_id and text count as one document and get the same result.
 A null doc_id counts as smaller than all others. Extra columns are ignored (``repeated_passages``) or kept
 (``without_repeats``).
 """
@@ -28,62 +33,103 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import Cache, Stages, chunks, free_memory, mix64, tidy
+from mailspark.llm.common import MASK, Cache, Stages, chunks, free_memory, mix64, tidy
 
-SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n)\s*|[^.!?\n]+$")
-WORD = re.compile(r"\s*\S+\s*")
+WORD = re.compile(r"\S+\s*")
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Spans:
     run: int = 3
     least_words: int = 10
-    long_words: int = 12
-    cut_one_in: int = 6
 
+    @property
+    def shortest(self) -> int:
+        """Words that a piece has at least, so that every run has ``least_words``."""
+        return -(-self.least_words // self.run)
+
+    @property
+    def longest(self) -> int:
+        return 2 * self.shortest
 
-def sentences(text: str, cfg: Spans, picked: Cache) -> list[str]:
-    """The text in pieces that join to it again."""
-    out = []
-    for s in SENTENCE.findall(text):
-        if s.count(" ") < cfg.long_words:
-            out.append(s)
-            continue
-        at = last = 0
-        for w in WORD.findall(s):
-            at += len(w)
-            if picked[w.strip().lower()]:
-                out.append(s[last:at])
-                last = at
-        if last < len(s):
-            out.append(s[last:])
-    return out
+
+def word_value(word: str) -> int:
+    """Hash of a word with the blanks after it folded; its lowest bit is 0 at the end of a sentence."""
+    bare = word.strip()
+    inside = bare[-1] not in ".!?" and "\n" not in word[len(word.rstrip()) :]
+    return xxhash.xxh3_64_intdigest(bare.lower(), seed=1) & ~1 | inside
 
 
 def picker(cfg: Spans) -> Cache:
-    return Cache(lambda w: xxhash.xxh3_64_intdigest(w, seed=1) % cfg.cut_one_in == 0)
+    return Cache(word_value)
+
+
+def words_of(text: str) -> list[str]:
+    """The words with the blanks after them, the first also with those before it."""
+    words = WORD.findall(text)
+    if words:
+        words[0] = text[: len(text) - len(text.lstrip())] + words[0]
+    return words
+
+
+def pieces(values: np.ndarray, cfg: Spans) -> np.ndarray:
+    """Numbers of the words that pieces begin with, and last the number of words."""
+    n, least = len(values), cfg.shortest
+    if n < 2:
+        return np.arange(n + 1)
+    h = values >> np.uint64(1)
+    key = (mix64(h[:-1] * MULTIPLIER + h[1:]) >> np.uint64(1)) | ((values[:-1] & np.uint64(1)) << np.uint64(63))
+    # key[i] belongs to the place after word i
+    pad = np.full(least - 1, MASK)
+    wide, smallest = np.concatenate([pad, key, pad]), np.ones(n - 1, bool)
+    for k in range(1, least):
+        smallest &= (key < wide[least - 1 - k :][: n - 1]) & (key <= wide[least - 1 + k :][: n - 1])
+    at = np.flatnonzero(smallest) + 1
+    out, last = [0], 0
+    for b in [*at[(at >= least) & (at <= n - least)].tolist(), n]:
+        while b - last > cfg.longest:
+            low = last + least
+            last = low + int(np.argmin(key[low - 1 : min(last + cfg.longest, b - least)]))
+            out.append(last)
+        out.append(b)
+        last = b
+    if len(out) <= cfg.run and n >= cfg.least_words:
+        # a text that is hardly longer than a run is one
+        return np.arange(cfg.run + 1) * n // cfg.run
+    return np.array(out)
+
+
+def values_of(words: list[str], picked: Cache) -> np.ndarray:
+    return np.fromiter(map(picked.__getitem__, words), np.uint64, len(words))
 
 
-def hashed_runs(parts: list[str], cfg: Spans) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the runs long enough, and the number of each one's first sentence. Sentences without a word are passed
-    over: a run may span them."""
-    words = [p.lower().split() for p in parts]
-    at = [i for i, w in enumerate(words) if w]
-    if len(at) < cfg.run:
+def sentences(text: str, cfg: Spans, picked: Cache) -> list[str]:
+    """The text in pieces that join to it again."""
+    words = words_of(text)
+    if not words:
+        return [text]
+    at = pieces(values_of(words, picked), cfg).tolist()
+    return ["".join(words[a:b]) for a, b in zip(at, at[1:])]
+
+
+def hashed_runs(text: str, cfg: Spans, picked: Cache) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs, and the number of each one's first piece."""
+    values = values_of(words_of(text), picked)
+    at = pieces(values, cfg)
+    many = len(at) - cfg.run
+    if many < 1 or len(values) < cfg.least_words:
         return np.empty(0, np.uint64), np.empty(0, np.int32)
-    h = np.array([xxhash.xxh3_64_intdigest(" ".join(words[i])) for i in at], np.uint64)
-    n = np.array([len(words[i]) for i in at])
-    many = len(at) - cfg.run + 1
-    acc, total = np.zeros(many, np.uint64), np.zeros(many, np.int64)
+    inside = (np.arange(len(values)) - np.repeat(at[:-1], np.diff(at))).astype(np.uint64)
+    h = np.add.reduceat(mix64((values >> np.uint64(1)) + inside * MULTIPLIER), at[:-1])
+    acc = np.zeros(many, np.uint64)
     for k in range(cfg.run):
-        acc = mix64(acc * np.uint64(0x9E3779B97F4A7C15) + h[k : k + many])
-        total += n[k : k + many]
-    ok = np.flatnonzero(total >= cfg.least_words)
-    return acc[ok], ok.astype(np.int32)
+        acc = mix64(acc * MULTIPLIER + h[k : k + many])
+    return acc, np.arange(many, dtype=np.int32)
 
 
 def all_runs(docs: DataFrame, cfg: Spans) -> DataFrame:
-    """``(h, doc_id, crc, at)``; ``at`` counts sentences that have a word."""
+    """``(h, doc_id, crc, at)``; ``at`` counts pieces."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +139,7 @@ def all_runs(docs: DataFrame, cfg: Spans) -> DataFrame:
             for lo, hi in chunks(texts, 1_000_000):
                 hs, ats, n, crc = [], [], [], []
                 for t in texts[lo:hi]:
-                    h, at = hashed_runs(sentences(t, cfg, picked), cfg) if t else (np.empty(0, np.uint64), np.empty(0, np.int32))
+                    h, at = hashed_runs(t, cfg, picked) if t else (np.empty(0, np.uint64), np.empty(0, np.int32))
                     hs.append(h)
                     ats.append(at)
                     n.append(len(h))
@@ -109,7 +155,7 @@ def all_runs(docs: DataFrame, cfg: Spans) -> DataFrame:
 
 
 def non_first(docs: DataFrame, cfg: Spans, stages: Stages) -> DataFrame:
-    """``(doc_id, crc, starts)``: per document the first sentences of its non-first repeated runs."""
+    """``(doc_id, crc, starts)``: per document the first pieces of its non-first repeated runs."""
     runs = stages.keep(all_runs(docs, cfg))
     place = F.struct("doc_id", "crc", "at")
     # rows that repeat a document repeat its places, so what counts is whether places differ
@@ -127,7 +173,7 @@ def with_starts(docs: DataFrame, cfg: Spans) -> DataFrame:
 
 
 def cleaned(text: str | None, starts, cfg: Spans, picked: Cache) -> tuple[str | None, int, int, str]:
-    """The text without covered sentences, how many sentences it had and lost, and the removed stretches."""
+    """The text without covered pieces, how many pieces it had and lost, and the removed stretches."""
     if not text:
         return text, 0, 0, ""
     parts = sentences(text, cfg, picked)
@@ -170,7 +216,7 @@ def repeated_passages(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
-    """``docs`` with repeated sentences removed from ``text`` and ``n_chars``, where there is one, counted anew. A document
+    """``docs`` with repeated pieces removed from ``text`` and ``n_chars``, where there is one, counted anew. A document
     that loses all its words goes; all others stay, with all columns."""
 
     @F.pandas_udf("string")

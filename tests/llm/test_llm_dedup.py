@@ -288,3 +288,39 @@ def test_passages_sf(spark):
     pairs = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
     got = sorted(((r["doc_id"], r["n_sentences"], r["n_removed"], r["text"]) for r in passages.repeated_passages(df).collect()), key=str)
     assert got == brute_passages(pairs, passages.Spans())
+
+
+def planted(passage, seed):
+    rng = np.random.default_rng(seed)
+    around = lambda: " ".join(f"o{x}" for x in rng.integers(0, 10**9, int(rng.integers(30, 60))))
+    return f"{around()} {passage} {around()}"
+
+
+def held(spark, kinds):
+    """Every passage is planted in two texts of their own words; the shares of its words that the second text loses."""
+    pairs = [(2 * i + j, planted(p, 2 * i + j)) for i, p in enumerate(kinds) for j in range(2)]
+    out = {r["doc_id"]: r["text"] for r in passages.repeated_passages(docs_of(spark, pairs)).collect()}
+    own = lambda t: [w for w in t.split() if w[0] == "o"]
+    for i, t in pairs:
+        assert own(out[i]) == own(t)
+    return [(len(pairs[2 * i + 1][1].split()) - len(out[2 * i + 1].split())) / len(p.split()) for i, p in enumerate(kinds)]
+
+
+def test_passages_of_short_sentences(spark):
+    rng, kinds = np.random.default_rng(11), []
+    for end in (".", "!!", "\n", " |"):
+        for longest in (1, 2, 3):
+            for words in (50, 60, 200):
+                rows, left = [], words
+                while left > 0:
+                    n = min(left, int(rng.integers(1, longest + 1)))
+                    rows.append(" ".join(f"u{i}{x}" for i, x in enumerate(rng.integers(0, 3000, n))) + end)
+                    left -= n
+                kinds.append(" ".join(rows))
+    shares = held(spark, kinds)
+    assert min(shares) > 0.4 and np.mean(shares) > 0.8
+    # every word lies in some run
+    cfg = passages.Spans()
+    for t in kinds:
+        h, at = passages.hashed_runs(t, cfg, passages.picker(cfg))
+        assert len(at) == len(passages.sentences(t, cfg, passages.picker(cfg))) - cfg.run + 1 and at[0] == 0

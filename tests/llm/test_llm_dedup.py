@@ -324,3 +324,27 @@ def test_passages_of_short_sentences(spark):
     for t in kinds:
         h, at = passages.hashed_runs(t, cfg, passages.picker(cfg))
         assert len(at) == len(passages.sentences(t, cfg, passages.picker(cfg))) - cfg.run + 1 and at[0] == 0
+
+
+def test_passages_in_long_sentences(spark):
+    rng = np.random.default_rng(12)
+    kinds = [f" {i}q".join(["", *map(str, rng.integers(0, 10**6, n))]) for i in range(12) for n in (50, 60)]
+    # words apart by tabs or no-break spaces
+    kinds += [blank.join(f"t{i}{x}" for x in rng.integers(0, 10**6, 60)) for i, blank in enumerate("\t\u00a0" * 4)]
+    # few words, drawn or in turn
+    for few in range(1, 14):
+        kinds.append(" ".join(f"f{few}{'abcdefghijklm'[x]}" for x in rng.integers(0, few, 50)))
+        kinds.append(" ".join(f"g{few}{'abcdefghijklm'[x % few]}" for x in range(50)))
+    shares = held(spark, kinds)
+    assert min(shares) > 0.2 and np.mean(shares) > 0.75
+
+
+def test_pieces_hang_on_the_words_around_alone():
+    cfg, rng = passages.Spans(), np.random.default_rng(13)
+    picked = passages.picker(cfg)
+    for k in range(300):
+        p = " ".join(f"w{x}" for x in rng.integers(0, (2, 40, 10**6)[k % 3], 50))
+        cut = [passages.sentences(planted(p, 2 * k + j), cfg, picked) for j in range(2)]
+        assert all(cfg.shortest <= len(s.split()) <= cfg.longest for parts in cut for s in parts)
+        runs = [{"".join(parts[i : i + cfg.run]) for i in range(len(parts) - cfg.run + 1)} for parts in cut]
+        assert runs[0] & runs[1]

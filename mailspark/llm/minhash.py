@@ -5,7 +5,8 @@ the largest image, so 64 evaluations give 128 values; four in a row (of four dif
 documents that share a band are candidates. With J the similarity, a pair is missed with probability
 ``(1 - J^4)^32``: 6e-11 at 0.85, 5e-8 at 0.8. Every link is confirmed on the full sets.
 
-Copies are folded first: documents with equal sets (128-bit fingerprint and size) are one member. Then stars: in each of
+Copies are folded first: documents with equal sets (128-bit fingerprint and size) are one member, named by a 64-bit hash of
+these; its set is made from the text of its first row (smallest doc_id, null last, then the text's hash). Then stars: in each of
 its bands a member is compared with a few drawn centres, not with all. Few bands still hold several components after
 that; there, pairs of different components are looked at inside the join, once, in the first band they share, and those
 come out whose sizes allow a link and whose long signatures (``sketch`` values at one bit each) agree in no fewer places than a
@@ -13,8 +14,9 @@ linked pair's would five standard deviations below their mean (a chance of 3e-7
 are confirmed on full sets too, so no link between different texts is lost and no group's pairs are listed.
 
 Results: documents with null or empty text, or without a word, have the empty set and link with nothing. Fewer than k
-words: the whole sequence is one shingle. Rows that repeat a doc_id are members like others; a null doc_id gets the
-component of its group. Extra columns are ignored (``near_duplicates``) or kept (``drop_near_duplicates``).
+words: the whole sequence is one shingle. A component is named by its smallest doc_id and keeps its first
+row: rows that repeat a doc_id with other texts, or have a null one, are judged by their own texts. A group with null doc_ids
+alone is named null and keeps one. Extra columns are ignored (``near_duplicates``) or kept (``drop_near_duplicates``).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailspark.llm.common import Cache, Stages, chunks, components, mix64, starts, tidy
@@ -97,8 +99,12 @@ def int_lists(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(starts(sizes).astype(np.int32)), pa.array(np.ascontiguousarray(values).ravel().view(np.int64)))
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string")).alias("t")
+
+
 def signatures(docs: DataFrame, cfg: MinMax) -> DataFrame:
-    """``(doc_id, n, f1, f2, bands)``: set size, fingerprint and band hashes (empty for empty sets)."""
+    """``(doc_id, t, n, f1, f2, bands)``: text hash, set size, fingerprint and band hashes (empty for empty sets)."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,16 +125,16 @@ def signatures(docs: DataFrame, cfg: MinMax) -> DataFrame:
                     f2[full] = np.add.reduceat(mix64(flat ^ np.uint64(0x5851F42D4C957F2D)), off[:-1])
                     bands = band_hashes(flat, off, cfg)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(size), pa.array(f1.view(np.int64), mask=none), pa.array(f2.view(np.int64), mask=none), int_lists(np.where(none, 0, cfg.bands), bands)],
-                    ["doc_id", "n", "f1", "f2", "bands"],
+                    [b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array(size), pa.array(f1.view(np.int64), mask=none), pa.array(f2.view(np.int64), mask=none), int_lists(np.where(none, 0, cfg.bands), bands)],
+                    ["doc_id", "t", "n", "f1", "f2", "bands"],
                 )
 
-    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bands array<long>")
+    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash())
+    return plain.mapInArrow(run, "doc_id long, t long, n long, f1 long, f2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, cfg: MinMax) -> DataFrame:
-    """``(doc_id, shingles)``: the whole set, for confirming."""
+    """``(member, shingles)`` of ``docs(member, text)``: the whole set, for confirming."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,16 +190,18 @@ def may_link(cfg: MinMax):
 
 
 def member_links(docs: DataFrame, members: DataFrame, cfg: MinMax, stages: Stages) -> DataFrame:
-    """``(node, component)`` over ``members(member, n, bands)``, one row for each different set."""
+    """``(node, component)`` over ``members(member, n, bands, first)``, one row for each different set."""
     banded = members.select("member", F.posexplode("bands").alias("no", "band"))
     drawn = [F.min(F.struct(F.xxhash64(F.lit(i), "member").alias("r"), F.col("member").alias("c")))["c"] for i in range(1, cfg.centres)]
     # only bands with two members or more matter
     heads = banded.groupBy("no", "band").agg(F.count(F.lit(1)).alias("size"), F.array(F.min("member"), *drawn).alias("centres"))
     heads = stages.keep(heads.where("size > 1").select("no", "band", "centres"))
     shared = stages.keep(banded.join(heads, ["no", "band"]))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    wanted = shared.select(F.col("member").alias("doc_id")).distinct()
-    sets = stages.keep(full_sets(texts.join(wanted, "doc_id", "left_semi"), cfg).dropDuplicates(["member"]))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash())
+    wanted = members.join(shared.select("member").distinct(), "member", "left_semi").select("member", F.col("first.doc_id").alias("_d"), F.col("first.t").alias("_t"))
+    chosen = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t"))).select("member", "text")
+    # what is left are copies of one row
+    sets = stages.keep(full_sets(chosen, cfg).dropDuplicates(["member"]))
     stars = shared.select("member", F.explode(F.array_distinct("centres")).alias("c")).where("c != member")
     stars = stars.select(F.least("c", "member").alias("a"), F.greatest("c", "member").alias("b")).distinct()
     links = stages.keep(confirmed(stars, sets, cfg))
@@ -204,7 +212,7 @@ def member_links(docs: DataFrame, members: DataFrame, cfg: MinMax, stages: Stage
     split = stages.keep(at.groupBy("no", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("no", "band"))
     left = stages.keep(at.join(split, ["no", "band"]))
     known = sets.join(left.select("member").distinct(), "member", "left_semi")
-    known = stages.keep(sketches(known, cfg).join(members, "member"))
+    known = stages.keep(sketches(known, cfg).join(members.select("member", "n", "bands"), "member"))
     rest = left.join(known, "member")
     side = lambda x: rest.select("no", "band", F.col("member").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("sketch").alias(f"k{x}"), F.col("bands").alias(f"b{x}"))
     first = F.array_position(F.zip_with("ba", "bb", lambda p, q: p == q), F.lit(True)) == F.col("no") + 1
@@ -214,24 +222,33 @@ def member_links(docs: DataFrame, members: DataFrame, cfg: MinMax, stages: Stage
     return comp if more.isEmpty() else components(links.union(more), stages)
 
 
-def near_duplicates(docs: DataFrame, cfg: MinMax = MinMax()) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text)``."""
+def judged(docs: DataFrame, cfg: MinMax) -> DataFrame:
+    """``(doc_id, t, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text)``, ``t`` being its text's hash."""
     stages = Stages(docs.sparkSession, "minmax")
     signed = stages.keep(signatures(docs, cfg))
     key = ["f1", "f2", "n"]
-    classes = stages.keep(
-        signed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("member"), F.any_value("bands").alias("bands"))
-    )
-    comp = member_links(docs, classes.where("member is not null").select("member", "n", "bands"), cfg, stages)
-    groups = stages.keep(
-        classes.select(*key, "member").join(comp.withColumnRenamed("node", "member"), "member", "left").select(*key, F.coalesce("component", "member").alias("component_id"))
-    )
-    out = signed.select("doc_id", *key).join(groups, key, "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
+    classes = signed.where("n > 0").groupBy(*key).agg(F.min(row).alias("first"), F.any_value("bands").alias("bands"))
+    classes = stages.keep(classes.select(F.xxhash64(*key).alias("member"), *key, "first", "bands"))
+    comp = member_links(docs, classes.select("member", "n", "bands", "first"), cfg, stages)
+    # only linked members take their first row from others
+    roots = comp.select(F.col("component").alias("node"), "component").distinct()
+    linked = stages.keep(classes.select("member", "first").join(comp.union(roots).withColumnRenamed("node", "member"), "member"))
+    named = linked.groupBy("component").agg(F.min("first").alias("head"))
+    heads = linked.select("member", "component").join(named, "component").select("member", "head")
+    groups = stages.keep(classes.join(heads, "member", "left").select(*key, F.coalesce("head", "first").alias("head")))
+    out = signed.select("doc_id", "t", *key).join(groups, key, "left")
+    kept = F.col("head").isNull() | (F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("t") == F.col("head.t")))
+    return out.select("doc_id", "t", F.col("n").alias("n_shingles"), F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, cfg: MinMax = MinMax()) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text)``."""
+    return judged(docs, cfg).drop("t")
 
 
 def drop_near_duplicates(docs: DataFrame, cfg: MinMax = MinMax()) -> DataFrame:
     """``docs`` with one document of each group, all columns kept. Rows that repeat both doc_id and text count as one."""
-    kept = near_duplicates(docs, cfg).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = judged(docs, cfg).where("kept").select(F.col("doc_id").alias("_kept"), F.col("t").alias("_kept_text")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_kept_text"))
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -123,6 +123,29 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    rng = np.random.default_rng(14)
+    word = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 9000, n))
+    a, b, c, d = (word(60) for _ in range(4))
+    near = lambda t: t + " more"
+    # (doc_id, text), component, kept
+    cases = [
+        ((1, near(a)), 1, True), ((2, a), 1, False), ((2, b), 2, True), ((3, near(b)), 2, False),
+        ((None, c), None, None), ((None, near(c)), None, None), ((4, near(d)), 4, True), ((None, d), 4, False),
+        ((4, a), 1, False), ((5, ""), 5, True), ((None, ""), None, True),
+    ]
+    pairs = [x for x, _, _ in cases]
+    df = docs_of(spark, pairs)
+    got = {(r["doc_id"], r["t"]): r for r in minhash.judged(df, minhash.MinMax()).collect()}
+    hashes = [r[0] for r in docs_of(spark, pairs).select(minhash.text_hash()).collect()]
+    for (p, comp, kept), t in zip(cases, hashes):
+        assert got[p[0], t]["component_id"] == comp and kept in (None, got[p[0], t]["kept"]), p
+    assert sum(got[None, t]["kept"] for t in hashes[4:6]) == 1
+    left = [(r["doc_id"], r["text"]) for r in minhash.drop_near_duplicates(df.union(df)).collect()]
+    want = [p for p, _, kept in cases if kept]
+    assert len(left) == len(want) + 1 and set(want) < set(left)
+
+
 def test_minmax_uses_both_ends():
     cfg = minhash.MinMax()
     assert cfg.bands * cfg.rows == 128

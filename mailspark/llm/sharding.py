@@ -50,8 +50,8 @@ def fisher_yates(items: Column, draw) -> Column:
     return F.when(last > 0, F.aggregate(F.sequence(last, F.lit(1), F.lit(-1)), items, swap)).otherwise(items)
 
 
-def shard_plan(docs: DataFrame, cfg: Shuffle = Shuffle()) -> DataFrame:
-    """``(doc_id, size, text_crc32, law, shard, slot, grown_shard)`` for every row of ``docs(doc_id, text)``."""
+def placed_copies(docs: DataFrame, cfg: Shuffle) -> DataFrame:
+    """The plan's rows with the number of each copy, from 1."""
     stages = Stages(docs.sparkSession, "shards")
     text = F.col("text").cast("string")
     sized = docs.select(
@@ -92,18 +92,45 @@ def shard_plan(docs: DataFrame, cfg: Shuffle = Shuffle()) -> DataFrame:
         F.pmod(place, F.lit(cfg.shards)).cast("int").alias("shard"),
         F.floor(place / F.lit(cfg.shards)).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
+        "record.copy",
     )
 
 
+def shard_plan(docs: DataFrame, cfg: Shuffle = Shuffle()) -> DataFrame:
+    """``(doc_id, size, text_crc32, law, shard, slot, grown_shard)`` for every row of ``docs(doc_id, text)``."""
+    return placed_copies(docs, cfg).drop("copy")
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or with ``_in`` behind it as often as needed to differ from all ``taken`` (lower case)."""
+    while name.lower() in taken:
+        name += "_in"
+    return name
+
+
 def write_shards(docs: DataFrame, path: str, cfg: Shuffle = Shuffle()) -> None:
-    """Writes every row of ``docs`` under ``path/shard=N``, ordered by slot within each file. Rows with equal doc_id and
-    text share their places in some order."""
-    plan = shard_plan(docs, cfg)
-    key = [F.col("doc_id").cast("long"), F.coalesce(F.crc32(F.encode(F.col("text").cast("string"), "UTF-8")), F.lit(0)).cast("long"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long") + 8]
-    numbered = lambda df, k, order: df.withColumn("_copy", F.row_number().over(Window.partitionBy(*k).orderBy(order)))
-    left = numbered(docs.withColumns({"_id": key[0], "_crc": key[1], "_size": key[2]}), ["_id", "_crc", "_size"], F.lit(0))
-    right = numbered(plan.select(F.col("doc_id").alias("_i"), F.col("text_crc32").alias("_c"), F.col("size").alias("_s"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot")), ["_i", "_c", "_s"], F.col("_slot"))
-    right = right.withColumnRenamed("_copy", "_n")
-    on = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_crc") == F.col("_c")) & (F.col("_size") == F.col("_s")) & (F.col("_copy") == F.col("_n"))
-    rows = left.join(right, on).withColumn("shard", F.col("_shard")).select(*[docs[c] for c in docs.columns if c != "shard"], "shard", "_slot")
+    """Writes every row of ``docs`` under ``path/shard=N``, ordered by slot (column ``_slot``) within each file. Rows with
+    equal doc_id and text share their places in some order. An input column named ``shard`` or ``_slot`` is written as
+    ``shard_in`` or ``_slot_in``."""
+    stages = Stages(docs.sparkSession, "shard-rows")
+    text = F.col("text").cast("string")
+    key = ["id", "crc", "size"]
+    # written with the task that read them, so that copies are numbered in parts, whatever their count
+    held = stages.keep(docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.coalesce(F.crc32(F.encode(text, "UTF-8")), F.lit(0)).cast("long").alias("crc"),
+        (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8).alias("size"),
+        F.spark_partition_id().alias("part"),
+    ))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = held.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("n")).select(F.col("id").alias("_i"), F.col("crc").alias("_c"), F.col("size").alias("_s"), F.col("part").alias("_p"), before.alias("before"))
+    inside = F.row_number().over(Window.partitionBy(*key, "part").orderBy(F.lit(0)))
+    same = F.col("id").eqNullSafe(F.col("_i")) & (F.col("crc") == F.col("_c")) & (F.col("size") == F.col("_s"))
+    left = held.withColumn("inside", inside).join(parts, same & (F.col("part") == F.col("_p"))).select("row", *key, (F.col("before") + F.col("inside")).alias("copy"))
+    right = placed_copies(docs, cfg).select(F.col("doc_id").alias("_i"), F.col("text_crc32").alias("_c"), F.col("size").alias("_s"), F.col("copy").alias("_n"), "shard", F.col("slot").alias("_slot"))
+    names = ["shard", "_slot"]
+    taken = [*names, *(c.lower() for c in docs.columns if c.lower() not in names)]
+    own = [F.col(f"row.`{c}`").alias(free_name(c, taken) if c.lower() in names else c) for c in docs.columns]
+    rows = left.join(right, same & (F.col("copy") == F.col("_n"))).select(*own, "shard", "_slot")
     rows.repartition(cfg.shards, "shard").sortWithinPartitions("shard", "_slot").write.partitionBy("shard").parquet(path)

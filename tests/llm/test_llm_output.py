@@ -88,6 +88,18 @@ def test_written_shards(spark, tmp_path):
     assert sorted(r["count"] for r in back.groupBy("shard").count().collect()) == [11, 11, 12]
 
 
+def test_written_shards_keep_clashing_columns(spark, tmp_path):
+    names = ["shard", "_id", "_crc", "_size", "_copy", "_slot", "row"]
+    rows = [(i % 9 if i % 4 else None, f"text {i % 3}", *(f"{n}{i}" for n in names)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)).repartition(5)
+    sharding.write_shards(df, str(tmp_path / "out"), sharding.Shuffle(shards=4))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    own = [{"shard": "shard_in", "_slot": "_slot_in"}.get(n, n) for n in names]
+    assert sorted(map(tuple, back.select("doc_id", "text", *own).collect()), key=str) == sorted(rows, key=str)
+    plan = sorted(map(tuple, sharding.shard_plan(df, sharding.Shuffle(shards=4)).select("doc_id", "shard", "slot").collect()), key=str)
+    assert sorted(map(tuple, back.select("doc_id", "shard", "_slot").collect()), key=str) == plan
+
+
 def test_sharding_uses_no_python(spark):
     plan = sharding.shard_plan(docs_of(spark, TEXTS))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

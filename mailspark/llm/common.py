@@ -10,6 +10,7 @@ from functools import wraps
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +121,17 @@ def chunks(texts: list, most: int = 400_000):
         yield lo, len(texts)
 
 
+def byte_slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose strings in ``column`` take about ``most`` bytes each (one row at least)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends, lo = np.cumsum(sizes, dtype=np.int64), 0
+    while lo < batch.num_rows:
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def starts(lengths) -> np.ndarray:
     out = np.zeros(len(lengths) + 1, np.int64)
     np.cumsum(lengths, out=out[1:])

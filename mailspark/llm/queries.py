@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.llm import chat, embed_dedup, langid, minhash, packing, passages, quality, secret_scan, sentencepiece_fst, sharding
+from mailspark.llm import alignment, chat, collocations, embed_dedup, fingerprint, langid, minhash, packing, passages, quality, secret_scan, sentencepiece_fst, sharding
 from mailspark.llm.common import table
 
 PACK = packing.PackConfig(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+ALIGN = alignment.AlignConfig(public_tokenizers.path("byte_bpe_50k.json"), PIECES, public_tokenizers.PATTERN)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,12 +59,25 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_report(table(spark, sf_dir, "documents", "doc_id", "text"), ALIGN)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_neighbours(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_quality_rules, op2_minhash_dedup, op3_sharding, op4_language_id, op5_secret_scan,
-            op6_chat_perspectives, op7_sentencepiece, op8_embedding_dedup, op9_packing, op10_repeated_passages,
+            op6_chat_perspectives, op7_sentencepiece, op8_embedding_dedup, op9_packing, op10_repeated_passages, op11_token_alignment, op12_collocations,
+            op13_fingerprints,
         )
     }
 

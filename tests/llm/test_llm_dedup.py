@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from mailspark.llm import embed_dedup, minhash, passages
-from mailspark.llm.common import Cache, Stages, components
+from mailspark.llm.common import Cache, Stages, components, mix64
 
 DOCS = "doc_id long, text string, lang string, component string, n long"
 SF01 = "/root/testdata/sf0.01"
@@ -215,6 +215,34 @@ def test_vector_recall_sf(spark):
     assert sorted(map(tuple, embed_dedup.vector_links(df).collect()), key=str) == brute_vectors(rows)
 
 
+def test_vectors_of_any_size_and_many_lengths(spark):
+    """Huge, tiny and mixed components; a hundred lengths in one table."""
+    rng = np.random.default_rng(21)
+    rows = [(1, [1e200, 1e200]), (2, [1e200, -1e200]), (3, [-1e200, -1e200]), (4, [1e-200, 1e-200]), (5, [2e-310, 2e-310]), (6, [1e308, 1e-300]), (7, [3.0, 0.0])]
+    for d in range(3, 103):
+        x = rng.standard_normal(d)
+        rows += [(10 * d, x.tolist()), (10 * d + 1, (x * 1e-150).tolist()), (10 * d + 2, rng.standard_normal(d).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.vector_links(df).collect()}
+    assert got[1] == got[4] == got[5] == (2, 1) and got[2] == (0, 2) and got[3] == (0, 3) and got[6] == got[7] == (1, 6)
+    for d in range(10, 103):
+        assert got[10 * d] == got[10 * d + 1] == (1, 10 * d) and got[10 * d + 2] == (0, 10 * d + 2)
+
+
+def test_directions_in_blocks():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((300, 8))
+    whole, parts = embed_dedup.Projections(), embed_dedup.Projections(block_floats=8 * 64)
+    a = np.concatenate([b for _, b in embed_dedup.direction_blocks(8, 300, parts)])
+    assert a.shape == (300, 8)
+    p = x.astype(np.float32) @ a.T
+    order = np.argsort(-np.abs(p), axis=1)[:, : parts.lists]
+    want = [{(2 * j + (p[i, j] < 0)) for j in order[i]} for i in range(len(x))]
+    lists, far = embed_dedup.farthest(x, 300, parts)
+    assert [set(r.tolist()) for r in lists] == want
+    assert embed_dedup.farthest(x, 300, whole)[0].shape == lists.shape
+
+
 def test_calibrated_recall():
     cfg = embed_dedup.Projections()
     for m in (512, 4096):
@@ -224,31 +252,71 @@ def test_calibrated_recall():
 # passages
 
 
+def own_units(text, cfg):
+    """The cut rule word by word: (words of a unit, the unit as it stands)."""
+    words = re.findall(r"\S+\s*", text)
+    if not words:
+        return []
+    words[0] = re.match(r"\s*", text).group() + words[0]
+    ends = [w.strip()[-1] in ".!?" or "\n" in re.search(r"\s*$", w).group() for w in words]
+    keys = []
+    for k in range(len(words) - 1):
+        a, b = (np.uint64(passages.word_value(w)) >> np.uint64(1) for w in words[k : k + 2])
+        with np.errstate(over="ignore"):
+            mixed = int(mix64(np.array([a * passages.MULTIPLIER + b], np.uint64))[0]) >> 1
+        keys.append(mixed if ends[k] else mixed | 1 << 63)
+    out, lo, far = [], 0, cfg.shortest - 1
+    for hi in [k + 1 for k, e in enumerate(ends[:-1]) if e] + [len(words)]:
+        cuts = [lo]
+        if hi - lo > cfg.whole:
+            # a place k + 1 is a cut if its key is the smallest of its neighbours', the first of equal ones
+            near = []
+            for k in range(lo, hi - 1):
+                left, right = keys[max(0, k - far) : k], keys[k + 1 : k + 1 + far]
+                if all(keys[k] < x for x in left) and all(keys[k] <= x for x in right) and cfg.shortest <= k + 1 <= len(words) - cfg.shortest:
+                    near.append(k + 1)
+            for b in [*near, hi]:
+                while b - cuts[-1] > cfg.longest:
+                    places = range(cuts[-1] + cfg.shortest, min(cuts[-1] + cfg.longest, b - cfg.shortest) + 1)
+                    cuts.append(min(places, key=lambda x: keys[x - 1]))
+                cuts.append(b)
+            cuts.pop()
+        out += [words[x:y] for x, y in zip(cuts, [*cuts[1:], hi])]
+        lo = hi
+    return out
+
+
+def sentence_count(text):
+    return sum(bool(re.search("[^ \\t\\n]", x)) for x in re.split("(?<=[.!?])[ \\t\\n]+|\\n+", text or ""))
+
+
 def brute_passages(pairs, cfg):
-    picked, runs = passages.picker(cfg), defaultdict(list)
-    parts = {}
+    runs, parts, reach = defaultdict(list), {}, {}
     for i, t in pairs:
         crc = zlib.crc32((t or "").encode()) if t else 0
         if (i, crc) in parts:
             continue
-        p = passages.sentences(t, cfg, picked) if t else []
-        assert "".join(p) == (t or "")
-        real = [k for k, s in enumerate(p) if s.split()]
-        parts[i, crc] = (p, real)
-        for k in range(len(real) - cfg.run + 1):
-            w = [tuple(p[real[k + j]].lower().split()) for j in range(cfg.run)]
-            if sum(map(len, w)) >= cfg.least_words:
-                runs[tuple(w)].append(((i is not None, i or 0), crc, k, i))
+        p = own_units(t, cfg) if t else []
+        if p:
+            assert "".join(w for u in p for w in u) == t
+        parts[i, crc] = p
+        for k in range(len(p)):
+            e = k + cfg.run
+            while e <= len(p) and sum(map(len, p[k:e])) < cfg.least_words:
+                e += 1
+            if e <= len(p):
+                reach[i, crc, k] = e
+                runs[tuple(tuple(w.strip().lower() for w in u) for u in p[k:e])].append(((i is not None, i or 0), crc, k, i))
     gone = defaultdict(set)
     for hits in runs.values():
         for _, crc, k, i in sorted(hits, key=lambda x: x[:3])[1:]:
-            gone[i, crc] |= {parts[i, crc][1][k + j] for j in range(cfg.run)}
+            gone[i, crc] |= set(range(k, reach[i, crc, k]))
     out = []
     for i, t in pairs:
         crc = zlib.crc32((t or "").encode()) if t else 0
-        p, real = parts[i, crc]
         drop = gone[i, crc]
-        out.append((i, len(real), len(drop), t if t is None else "".join(s for k, s in enumerate(p) if k not in drop)))
+        text = "".join(w for k, u in enumerate(parts[i, crc]) if k not in drop for w in u) if drop else t
+        out.append((i, sentence_count(t), len(drop), text))
     return sorted(out, key=str)
 
 
@@ -313,6 +381,28 @@ def test_passages_sf(spark):
     assert got == brute_passages(pairs, passages.Spans())
 
 
+def test_sentences_of_few_words_stay_whole():
+    """One shared stretch inside two sentences of up to ``whole`` words is no passage; sentences are units."""
+    cfg = passages.Spans()
+    picked = passages.picker(cfg)
+    text = "One two three four five six seven eight nine ten eleven twelve. A b. C!\nD e f? " + "long " * 30
+    parts = passages.sentences(text, cfg, picked)
+    assert parts[:4] == ["One two three four five six seven eight nine ten eleven twelve. ", "A b. ", "C!\n", "D e f? "]
+    assert all(cfg.shortest <= len(p.split()) <= cfg.longest for p in parts[4:])
+
+
+def test_passage_columns_may_clash(spark):
+    pairs = passage_cases()
+    names = ["_d", "_c", "_starts", "_kept", "row", "crc", "cell", "starts", "d", "c", "new", "h", "at"]
+    df = docs_of(spark, pairs).select("doc_id", "text", *[F.lit(k).alias(x) for k, x in enumerate(names)])
+    got = passages.without_repeats(df)
+    assert got.columns == df.columns
+    assert {tuple(r[x] for x in names) for r in got.collect()} == {tuple(range(len(names)))}
+    few = passages.Spans(cells=2)
+    assert sorted(map(str, passages.without_repeats(df, few).collect())) == sorted(map(str, got.collect()))
+    assert minhash.drop_near_duplicates(df).columns == df.columns and minhash.drop_near_duplicates(df).count() > 0
+
+
 def planted(passage, seed):
     rng = np.random.default_rng(seed)
     around = lambda: " ".join(f"o{x}" for x in rng.integers(0, 10**9, int(rng.integers(30, 60))))
@@ -342,11 +432,15 @@ def test_passages_of_short_sentences(spark):
                 kinds.append(" ".join(rows))
     shares = held(spark, kinds)
     assert min(shares) > 0.4 and np.mean(shares) > 0.8
-    # every word lies in some run
+    # all words but a few last ones lie in some run, and every run holds words enough
     cfg = passages.Spans()
     for t in kinds:
-        h, at = passages.hashed_runs(t, cfg, passages.picker(cfg))
-        assert len(at) == len(passages.sentences(t, cfg, passages.picker(cfg))) - cfg.run + 1 and at[0] == 0
+        picked = passages.picker(cfg)
+        parts = [len(x.split()) for x in passages.sentences(t, cfg, picked)]
+        ends = passages.run_ends(passages.units(passages.values_of(passages.words_of(t), picked), cfg), cfg)
+        h, at = passages.hashed_runs(t, cfg, picked)
+        assert at.tolist() == list(range(len(ends))) and sum(parts[ends[-1] :]) <= cfg.whole
+        assert all(sum(parts[i:e]) >= cfg.least_words and e - i >= cfg.run for i, e in enumerate(ends))
 
 
 def test_passages_in_long_sentences(spark):
@@ -369,5 +463,8 @@ def test_pieces_hang_on_the_words_around_alone():
         p = " ".join(f"w{x}" for x in rng.integers(0, (2, 40, 10**6)[k % 3], 50))
         cut = [passages.sentences(planted(p, 2 * k + j), cfg, picked) for j in range(2)]
         assert all(cfg.shortest <= len(s.split()) <= cfg.longest for parts in cut for s in parts)
-        runs = [{"".join(parts[i : i + cfg.run]) for i in range(len(parts) - cfg.run + 1)} for parts in cut]
+        runs = []
+        for parts in cut:
+            ends = [next((e for e in range(i + cfg.run, len(parts) + 1) if len("".join(parts[i:e]).split()) >= cfg.least_words), 0) for i in range(len(parts))]
+            runs.append({"".join(parts[i:e]) for i, e in enumerate(ends) if e})
         assert runs[0] & runs[1]

@@ -38,21 +38,41 @@ class Projections:
     window: float = 1.2
     recall: float = 0.985
     seed: int = 11
-    most_dims: int = 64  # different vector lengths in one table
-
-
-def directions(dim: int, m: int, seed: int) -> np.ndarray:
-    return np.random.default_rng([seed, dim, m]).standard_normal((m, dim)).astype(np.float32)
-
-
-def farthest(unit: np.ndarray, a: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each row the numbers of the ``k`` lists (2 per direction) where it lies farthest out, and how far."""
-    p = unit.astype(np.float32) @ a.T
-    size = np.abs(p)
-    k = min(k, p.shape[1])
-    j = np.argpartition(-size, k - 1, axis=1)[:, :k]
-    value = np.take_along_axis(p, j, axis=1)
-    return 2 * j + (value < 0), np.abs(value)
+    block_floats: int = 1 << 21  # numbers of directions drawn and held at once
+
+
+def direction_blocks(dim: int, m: int, cfg: Projections) -> Iterator[tuple[int, np.ndarray]]:
+    """The ``m`` directions in blocks ``(number of the first, rows)``; the last one drawn is remembered."""
+    rows = max(64, cfg.block_floats // dim)
+    for lo in range(0, m, rows):
+        key = (cfg.seed, dim, m, lo)
+        if _DRAWN.get("key") != key:
+            _DRAWN["block"] = np.random.default_rng(key).standard_normal((min(rows, m - lo), dim)).astype(np.float32)
+            _DRAWN["key"] = key
+        yield lo, _DRAWN["block"]
+
+
+_DRAWN: dict = {}
+
+
+def farthest(unit: np.ndarray, m: int, cfg: Projections) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the numbers of the lists (2 per direction) where it lies farthest out, and how far."""
+    unit = unit.astype(np.float32)
+    lists, far = np.empty((len(unit), 0), np.int64), np.empty((len(unit), 0), np.float32)
+    for lo, a in direction_blocks(unit.shape[1], m, cfg):
+        found, size = [], []
+        for at in range(0, len(unit), 200):
+            p = unit[at : at + 200] @ a.T
+            k = min(cfg.lists, p.shape[1])
+            j = np.argpartition(-np.abs(p), k - 1, axis=1)[:, :k]
+            value = np.take_along_axis(p, j, axis=1)
+            found.append(2 * (j + lo) + (value < 0))
+            size.append(np.abs(value))
+        lists, far = np.hstack([lists, np.concatenate(found)]), np.hstack([far, np.concatenate(size)])
+        if lists.shape[1] > cfg.lists:
+            j = np.argpartition(-far, cfg.lists - 1, axis=1)[:, : cfg.lists]
+            lists, far = np.take_along_axis(lists, j, axis=1), np.take_along_axis(far, j, axis=1)
+    return lists, far
 
 
 def calibrated_count(dim: int, m: int, cfg: Projections, pairs: int = 2000) -> int:
@@ -66,12 +86,12 @@ def calibrated_count(dim: int, m: int, cfg: Projections, pairs: int = 2000) -> i
     z -= (z * x).sum(axis=1, keepdims=True) * x
     z /= np.linalg.norm(z, axis=1, keepdims=True)
     y = cfg.cosine * x + np.sqrt(1 - cfg.cosine**2) * z
-    a = directions(dim, m, cfg.seed)
+    (lx, vx), (ly, vy) = farthest(x, m, cfg), farthest(y, m, cfg)
     counts = np.zeros(pairs, np.int64)
     for lo in range(0, pairs, 250):
-        (lx, vx), (ly, vy) = farthest(x[lo : lo + 250], a, cfg.lists), farthest(y[lo : lo + 250], a, cfg.lists)
-        met = (lx[:, :, None] == ly[:, None, :]) & (np.abs(vx[:, :, None] - vy[:, None, :]) <= cfg.window)
-        counts[lo : lo + 250] = met.sum(axis=(1, 2))
+        at = slice(lo, lo + 250)
+        met = (lx[at, :, None] == ly[at, None, :]) & (np.abs(vx[at, :, None] - vy[at, None, :]) <= cfg.window)
+        counts[at] = met.sum(axis=(1, 2))
     reached = np.sort(counts)[int((1 - cfg.recall) * pairs)]
     return max(1, int(reached))
 
@@ -80,41 +100,47 @@ def listed(classes: DataFrame, m: int, cfg: Projections) -> DataFrame:
     """``(cid, list, value)``: each class in its ``lists`` farthest lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
         for b in batches:
             cid = b.column(0).to_numpy()
             vectors = b.column(1)
             dims = np.diff(vectors.offsets.to_numpy())
             flat, off = vectors.values.to_numpy(), vectors.offsets.to_numpy()
             for dim in np.unique(dims):
-                if dim not in held:
-                    held[dim] = directions(int(dim), m, cfg.seed)
                 rows = np.flatnonzero(dims == dim)
-                for lo in range(0, len(rows), 200):
-                    some = rows[lo : lo + 200]
+                for lo in range(0, len(rows), 5000):
+                    some = rows[lo : lo + 5000]
                     v = np.stack([flat[off[i] : off[i] + dim] for i in some])
-                    # scaled by the largest component first, so that squares neither overflow nor vanish
-                    v = v / np.abs(v).max(axis=1, keepdims=True)
                     v /= np.linalg.norm(v, axis=1, keepdims=True)
-                    lists, value = farthest(v, held[dim], cfg.lists)
+                    lists, value = farthest(v, m, cfg)
                     k = lists.shape[1]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(cid[some], k)), pa.array((int(dim) * 2 * m + lists).ravel().astype(np.int64)), pa.array(value.ravel().astype(np.float64))],
-                        ["cid", "list", "value"],
+                        [pa.array(np.repeat(cid[some], k)), pa.array(np.full(len(some) * k, dim, np.int32)), pa.array(lists.ravel()), pa.array(value.ravel().astype(np.float64))],
+                        ["cid", "dim", "list", "value"],
                     )
 
-    return classes.select("cid", "v").mapInArrow(run, "cid long, list long, value double")
+    return classes.select("cid", "u").mapInArrow(run, "cid long, dim int, list long, value double")
+
+
+def calibrated(dims: DataFrame, m: int, cfg: Projections) -> DataFrame:
+    """``(dim, count)``: the count that pairs must reach, for each of ``dims(dim)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts = [calibrated_count(d, m, cfg) for d in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64())], ["dim", "count"])
+
+    return dims.select("dim").mapInArrow(run, "dim int, count long")
 
 
-def colliding(lists: DataFrame, count: int, cfg: Projections) -> DataFrame:
-    """``(a, b)``: pairs that meet in ``count`` windows or more. A window joins its own cell and the next, by plain shuffle
+def colliding(lists: DataFrame, counts: DataFrame, cfg: Projections) -> DataFrame:
+    """``(a, b)``: pairs that meet in as many windows as ``counts(dim, count)`` asks, or more. A window joins its own cell and the next, by plain shuffle
     joins that Spark may split."""
     cell = F.floor(F.col("value") / cfg.window)
-    x = lists.select("list", cell.alias("cell"), F.col("cid").alias("x"), F.col("value").alias("vx"))
-    y = lists.select("list", F.explode(F.array(cell, cell - 1)).alias("cell"), F.col("cid").alias("y"), F.col("value").alias("vy"))
-    met = x.join(y, ["list", "cell"]).where((F.col("vy") - F.col("vx")).between(0.0, cfg.window) & ((F.col("vy") > F.col("vx")) | (F.col("y") > F.col("x"))))
-    pairs = met.where("x != y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    return pairs.where(F.col("n") >= count).select("a", "b")
+    x = lists.select("dim", "list", cell.alias("cell"), F.col("cid").alias("x"), F.col("value").alias("vx"))
+    y = lists.select("dim", "list", F.explode(F.array(cell, cell - 1)).alias("cell"), F.col("cid").alias("y"), F.col("value").alias("vy"))
+    met = x.join(y, ["dim", "list", "cell"]).where((F.col("vy") - F.col("vx")).between(0.0, cfg.window) & ((F.col("vy") > F.col("vx")) | (F.col("y") > F.col("x"))))
+    pairs = met.where("x != y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.any_value("dim").alias("dim"))
+    return pairs.join(counts, "dim").where(F.col("n") >= F.col("count")).select("a", "b")
 
 
 def cosine(x, y):
@@ -128,18 +154,19 @@ def vector_links(vectors: DataFrame, cfg: Projections = Projections()) -> DataFr
     v = F.col("embedding").cast("array<double>")
     finite = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = stages.keep(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(finite & F.col("vec_id").isNotNull(), v).alias("v")))
+    # by the largest component, so that no square overflows and not all vanish; cosines stay
+    largest = F.array(F.array_max(F.transform("v", F.abs)))
+    scaled = F.transform(largest, lambda most: F.transform("v", lambda x: x / most))[0]  # the largest is found once
     classes = stages.keep(
-        rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")).withColumn("cid", F.monotonically_increasing_id())
+        rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        .select("v", scaled.alias("u"), "rep", "copies", F.monotonically_increasing_id().alias("cid"))
     )
     n = classes.count()
     m = max(cfg.least, 1 << int(np.ceil(np.log2(max(1.0, cfg.per_root * np.sqrt(n))))))
-    dims = [r[0] for r in classes.select(F.size("v")).distinct().take(cfg.most_dims + 1)]
-    if len(dims) > cfg.most_dims:
-        raise ValueError(f"more than {cfg.most_dims} different vector lengths")
-    count = min((calibrated_count(d, m, cfg) for d in dims), default=1)
+    counts = stages.keep(calibrated(classes.select(F.size("v").alias("dim")).distinct(), m, cfg))
     lists = stages.keep(listed(classes, m, cfg))
-    pairs = stages.keep(colliding(lists, count, cfg))
-    one = lambda side: classes.select(F.col("cid").alias(side), F.col("v").alias(f"v{side}"))
+    pairs = stages.keep(colliding(lists, counts, cfg))
+    one = lambda side: classes.select(F.col("cid").alias(side), F.col("u").alias(f"v{side}"))
     links = stages.keep(pairs.join(one("a"), "a").join(one("b"), "b").where(cosine(F.col("va"), F.col("vb")) >= cfg.cosine).select("a", "b"))
     comp = components(links, stages)
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -43,7 +43,7 @@ class VectorizerConfig:
         if self.weighting not in ("BINARY", "TF", "TF_IDF"):
             raise ValueError(f"unknown weighting {self.weighting!r}")
         if self.stemmer == "lovins":
-            raise NotImplementedError("the Lovins rules are not included (see README); pass a per-word function")
+            raise NotImplementedError("pass operators.lovins.lovins(endings): the list of endings is a parameter (see README)")
         if not (self.stemmer == "none" or callable(self.stemmer)):
             raise ValueError(f"unknown stemmer {self.stemmer!r}")
         if self.words_to_keep < 1:

@@ -10,6 +10,7 @@ term table joined to the documents' term counts, summed per document.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -21,6 +22,7 @@ from pyspark.sql.types import StructField, StructType
 from mailspark.config import MAX_ITER, VectorizerConfig
 from mailspark.functions.text import HAM, SPAM, decode_prediction, encode_label
 from mailspark.operators.vocab import Vocabulary, weight_expr
+from mailspark.session import create_file, small_files
 
 TOL = 1e-8
 
@@ -73,6 +75,15 @@ def fit_logistic(vectors: DataFrame, ridge: float, n: int, max_iter: int = MAX_I
     return lr.fit(vectors)
 
 
+def sized_partitions(persisted: DataFrame, target: int = 64 << 20) -> int:
+    """Partitions of about ``target`` bytes for a persisted and counted frame, by
+    the bytes that it holds. A solver passes over its vectors once an
+    iteration, so many small partitions cost a task each every time; this
+    only lays rows out, the fitted model is the same."""
+    held = persisted._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return max(1, -(-int(str(held)) // target))
+
+
 def with_y(vectors: DataFrame, label_col: str = "label") -> DataFrame:
     return vectors.withColumn("y", encode_label(label_col).cast("double"))
 
@@ -113,6 +124,9 @@ class TextModel:
     def joinable(self) -> DataFrame:
         return self.terms
 
+    def unpersist(self) -> None:
+        self.terms.unpersist()
+
 
 def model_from_fit(vocab: Vocabulary, lr_model, ridge: float) -> TextModel:
     """Attach the fitted coefficients to the vocabulary table. The
@@ -158,18 +172,38 @@ def score_counts(counts_outer: DataFrame, model_terms: DataFrame, intercept: flo
     )
 
 
-def save_model(model: TextModel, path: str) -> None:
-    """S3: two Parquet tables under ``path``."""
-    spark = model.terms.sparkSession
-    model.terms.write.mode("overwrite").parquet(f"{path}/model_terms")
-    model.meta(spark).write.mode("overwrite").parquet(f"{path}/model_meta")
-
+def save_model(model: TextModel, path: str) -> int:
+    """S3: a new version of the model under ``path``; returns its number.
 
-def load_model(spark: SparkSession, path: str, stemmer=None) -> TextModel:
-    """Read the two tables back; the term table is cached. A model
-    trained with a stemmer function needs the same function here."""
-    meta = spark.read.parquet(f"{path}/model_meta").first()
-    terms = spark.read.parquet(f"{path}/model_terms").cache()
+    The two Parquet tables go to a folder of their own first. A small file
+    named by the version then points to that folder; it is created only if no
+    writer has taken the number yet, else the next one is tried. So readers
+    see whole versions only, and no version has another one's intercept."""
+    spark = model.terms.sparkSession
+    folder = uuid.uuid4().hex
+    model.terms.write.parquet(f"{path}/data/{folder}/model_terms")
+    model.meta(spark).write.parquet(f"{path}/data/{folder}/model_meta")
+    version = max(model_versions(spark, path), default=0) + 1
+    while not create_file(spark, f"{path}/versions/{version:012d}", folder):
+        version += 1
+    return version
+
+
+def model_versions(spark: SparkSession, path: str) -> dict[int, str]:
+    """Version numbers and the data folders that they point to."""
+    return {int(name): folder for name, folder in small_files(spark, f"{path}/versions").items() if name.isdigit() and folder}
+
+
+def load_model(spark: SparkSession, path: str, stemmer=None, version: int | None = None) -> TextModel:
+    """Read the two tables of a version (the latest) back; the term table
+    is cached. A model trained with a stemmer function needs the same function
+    here."""
+    versions = model_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no model in {path}")
+    folder = f"{path}/data/{versions[max(versions) if version is None else version]}"
+    meta = spark.read.parquet(f"{folder}/model_meta").first()
+    terms = spark.read.parquet(f"{folder}/model_terms").cache()
     size = terms.count()
     stop = tuple(meta["stop_list"].split("|")) if meta["stop_list"] else None
     if meta["stemmer"] != "none" and stemmer is None:
@@ -180,6 +214,30 @@ def load_model(spark: SparkSession, path: str, stemmer=None) -> TextModel:
     return TextModel(terms, meta["intercept"], meta["n_train"], meta["ridge"], cfg, size)
 
 
+def gradient_at(counts_outer: DataFrame, model: TextModel, ridge: float) -> DataFrame:
+    """``(term, gradient)``: the derivative of the ridge objective by each
+    standardised coefficient, at the model's coefficients, and with a NULL
+    term by the intercept. All are 0 at the optimum, and only there.
+
+    ``counts_outer``: the training documents' ``(doc_id, label, term, f)``, one
+    NULL-term row for a token-less document. Documents are scored, then each
+    term sums residual times weight over its documents; sums are aggregated
+    before the shuffle, and no vector is built."""
+    cfg = model.cfg
+    scored = score_counts(counts_outer, model.terms.select("term", "idf", "coef"), model.intercept, cfg.weighting, keep=("doc_id", "label"))
+    residual = scored.select("doc_id", (F.col("probability") - encode_label("label")).alias("r"))
+    n, total = residual.agg(F.count(F.lit(1)), F.sum("r")).first()
+    w = F.lit(1.0) if cfg.weighting == "BINARY" else F.log1p(F.col("f").cast("double")) * F.col("idf")
+    entries = counts_outer.join(model.terms.select("term", "idf", "coef"), "term").select("doc_id", "term", "coef", w.alias("w")).join(residual, "doc_id")
+    sums = entries.groupBy("term", "coef").agg(F.sum(F.col("w") * F.col("r")).alias("wr"), F.sum("w").alias("s"), F.sum(F.col("w") * F.col("w")).alias("q"))
+    var = (F.col("q") - F.col("s") * F.col("s") / n) / max(n - 1, 1)
+    sd = F.sqrt(F.when(var > 1e-14 * F.col("q"), var).otherwise(0.0))
+    # a term of no variance has no coefficient
+    slope = (F.col("wr") - total * F.col("s") / n) / sd / n + 2.0 * ridge / n * F.col("coef") * sd
+    free = residual.sparkSession.createDataFrame([(None, float(total) / n)], "term STRING, gradient DOUBLE")
+    return sums.select("term", F.when(sd > 0, slope).otherwise(F.col("coef")).alias("gradient")).unionByName(free)
+
+
 __all__ = [
     "doc_vectors",
     "fit_logistic",
@@ -189,5 +247,7 @@ __all__ = [
     "score_counts",
     "save_model",
     "load_model",
+    "model_versions",
+    "gradient_at",
     "decode_prediction",
 ]

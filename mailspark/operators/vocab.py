@@ -106,39 +106,28 @@ def transform(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
     return j.select(*keep, "term", "idx", weight_expr(vocab.cfg, F.col("f"), F.col("df"), F.col("n_train")).alias("weight"))
 
 
-def fit_fold_vocabularies(fold_stats: DataFrame, n_by_fold: dict, cfg: VectorizerConfig, n_folds: int) -> dict:
-    """W1 + A3 for every "all folds but i" training set in one job.
-
-    ``fold_stats`` is ``(fold, label, term, c, d)``. One aggregation per (label,
-    term) keeps the folds' shares side by side; the statistics of "all but i"
-    are the total less share i, taken after it. The top-K cut is shared by all
-    holds of one pass. Returns ``{i: Vocabulary}``, each a filter of one cached
-    table; equal to calling ``fit_vocabulary`` once per fold."""
+def hold_stats(fold_stats: DataFrame, n_folds: int) -> DataFrame:
+    """``(hold, label, term, c, d)``: the statistics of every "all folds but
+    ``hold``", and of all folds as hold ``n_folds``, in one aggregation.
+
+    ``fold_stats`` is ``(fold, label, term, c, d)``. One group per (label, term)
+    keeps the folds' shares side by side; a hold is the total less its share."""
     part = lambda x, i: F.coalesce(F.sum(F.when(F.col("fold") == i, F.col(x))), F.lit(0))
     shares = [F.struct(part("c", i).alias("c"), part("d", i).alias("d")) for i in range(n_folds)]
-    whole = fold_stats.groupBy("label", "term").agg(F.sum("c").alias("_c"), F.sum("d").alias("_d"), F.array(*shares).alias("_shares"))
-    st = (
+    none = F.struct(F.lit(0).cast("long").alias("c"), F.lit(0).cast("long").alias("d"))
+    whole = fold_stats.groupBy("label", "term").agg(F.sum("c").alias("_c"), F.sum("d").alias("_d"), F.array(*shares, none).alias("_shares"))
+    return (
         whole.select("label", "term", "_c", "_d", F.posexplode("_shares").alias("hold", "_s"))
         .select("hold", "label", "term", (F.col("_c") - F.col("_s.c")).alias("c"), (F.col("_d") - F.col("_s.d")).alias("d"))
         .filter("d > 0")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    ranks = count_ranks(st, cfg.words_to_keep, ["hold", "label"])  # at most K rows per hold and class
-    terms = st.join(F.broadcast(ranks), ["hold", "label", "c"]).select("hold", "term").distinct()
-    df_ = st.join(terms, ["hold", "term"]).groupBy("hold", "term").agg(F.sum("d").alias("df"))
-    n_total = sum(n_by_fold.values())
-    n_hold = F.lit(n_total) - F.coalesce(
-        *[F.when(F.col("hold") == i, F.lit(int(n_by_fold.get(i, 0)))) for i in range(n_folds)], F.lit(0)
     )
-    indexed = bucketed_row_number(df_.withColumn("_h", F.md5("term")), ["hold"], "_h", "term", out="_rn", prefix_len=2)
-    table = indexed.select(
-        "hold", "term", (F.col("_rn") - 1).cast("int").alias("idx"), F.col("df").cast("long").alias("df"), n_hold.cast("long").alias("n_train")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["hold"]: r["n"] for r in table.groupBy("hold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    st.unpersist()
-    out = {}
-    for i in range(n_folds):
-        t = table.filter(F.col("hold") == i).drop("hold")
-        out[i] = Vocabulary(cfg, t, int(n_total - n_by_fold.get(i, 0)), int(sizes.get(i, 0)))
-    out["_table"] = table
-    return out
+
+
+def fold_term_ranks(fold_stats: DataFrame, k: int, n_folds: int) -> DataFrame:
+    """``(hold, term, rk, df)``: W1 + A3 for every hold of ``hold_stats`` at
+    once. ``rk`` is a term's best class rank, so the vocabulary of any smaller
+    K is ``rk <= K``; ``df`` counts the hold's documents of all classes."""
+    st = hold_stats(fold_stats, n_folds)
+    ranks = count_ranks(st, k, ["hold", "label"])  # at most K rows per hold and class
+    best = st.join(F.broadcast(ranks), ["hold", "label", "c"]).groupBy("hold", "term").agg(F.min("rk").alias("rk"))
+    return st.join(best, ["hold", "term"]).groupBy("hold", "term").agg(F.first("rk").alias("rk"), F.sum("d").alias("df"))

@@ -18,6 +18,7 @@ from mailspark.operators import terms as TM
 from mailspark.operators import evaluate as EV
 from mailspark.operators import model as M
 from mailspark.operators import vocab as V
+from mailspark.plans import model_queries as MQ
 from mailspark.plans import sql_text as Q
 from mailspark.sources.tables import documents, labelled_docs, spread, table
 
@@ -300,6 +301,11 @@ def _fixture_model(spark, sf):
     return terms, test, cfg
 
 
+def _fixture(spark, sf):
+    terms, _, cfg = _fixture_model(spark, sf)
+    return terms, FIXTURE_INTERCEPT, cfg
+
+
 def _fixture_predictions(spark, sf):
     terms, test, cfg = _fixture_model(spark, sf)
     counts = TM.doc_term_counts(test, cfg, outer=True)
@@ -380,15 +386,20 @@ def q_train_model(spark, sf):
     return m.terms.select("term", "idx", _r(F.col("idf"), "idf"), _r(F.col("coef"), "coef"))
 
 
-FIT_PARALLELISM = 8
+def _grid_log(spark):
+    from mailspark.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/mailspark/grid-log"
 
 
 def q_grid_search(spark, sf):
-    """M8 on the whole grid: 96 points, 10 folds each."""
+    """M8 on the whole grid: 96 points, 10 folds each. Finished points go to
+    a log in the shared folder, so a stopped run goes on and ``best_config``
+    reads them."""
     from mailspark.config import GridSpec
     from mailspark.plans.tune import grid_search
 
-    g = grid_search(_labelled(spark, sf), GridSpec(), parallelism=FIT_PARALLELISM)
+    g = grid_search(_labelled(spark, sf), GridSpec(), log_path=_grid_log(spark))
     return g.select("vectorizer", "vec_ord", "k", "ridge", "vocab_size", _r(F.col("f_spam"), "f_spam"))
 
 
@@ -400,7 +411,7 @@ def q_cv_f_measure(spark, sf):
 
     train, _ = _split_parts(spark, sf)
     folded = train.join(S.train_folds(train, N_FOLDS), "doc_id")
-    res = cross_validate(folded, tfidf_preset(), [K_DEFAULT], [10.0], N_FOLDS, 500, parallelism=FIT_PARALLELISM)
+    res = cross_validate(folded, [tfidf_preset()], [K_DEFAULT], [10.0], N_FOLDS, 500)
     rows = [(int(k), float(r), int(v), None if f is None else round(float(f), 6)) for _, k, r, v, f in res]
     return spark.createDataFrame(rows, "k INT, ridge DOUBLE, vocab_size BIGINT, f_spam DOUBLE")
 
@@ -463,6 +474,12 @@ def _base_queries():
         "cv_f_measure": q_cv_f_measure,
         "grid_search": q_grid_search,
         "best_config": q_best_config,
+        "cv_pooled_fixture": lambda spark, sf: MQ.q_cv_pooled_fixture(spark, sf, _labelled),
+        "best_config_fixture": lambda spark, sf: MQ.q_best_config_fixture(spark, sf, _labelled),
+        "fit_optimality": lambda spark, sf: MQ.q_fit_optimality(spark, sf, _labelled),
+        "score_saved_model": lambda spark, sf: MQ.q_score_saved_model(spark, sf, _fixture, documents(spark, sf, "doc_id", "text")),
+        "mail_folder": lambda spark, sf: MQ.q_mail_folder(spark, sf, _file_name_expr()),
+        "score_stream_recovered": lambda spark, sf: MQ.q_score_stream_recovered(spark, sf, _file_name_expr(), _fixture),
     }
 
 
@@ -548,6 +565,10 @@ def _base_sql():
         "SELECT 'ham', 'f', round(f_h, 6) FROM my UNION ALL SELECT 'spam', 'precision', round(p_s, 6) FROM my UNION ALL "
         "SELECT 'spam', 'recall', round(r_s, 6) FROM my UNION ALL SELECT 'spam', 'f', round(f_s, 6) FROM my"
     )
+    pooled = MQ.cv_sql([_ld(), ranked, sizes, split])
+    mails = MQ.MAILS_SQL.format(name=_file_name_sql())
+    mailed = everything.replace("SELECT doc_id, text, NULL::VARCHAR AS label FROM documents", "SELECT file_name AS doc_id, text, NULL::VARCHAR AS label FROM m").replace("WITH ", f"WITH {mails}, ", 1)
+    preset_terms = _with(_ld(), Q.term_counts_cte(stopwords=_stop()), Q.vocab_cte(K_DEFAULT))
     transform_holdout = holdout[:-1] + ", " + ", ".join([
         Q.term_counts_cte(src="tr"),
         Q.vocab_cte(K_DEFAULT, "tc", "(SELECT count(*) FROM tr)"),
@@ -560,6 +581,16 @@ def _base_sql():
         "transform_holdout": transform_holdout,
         "score_docs": scored,
         "score_stream": scored,
+        "score_saved_model": scored,
+        "cv_pooled_fixture": pooled + "SELECT k, n, hit, said, spam_docs, f_spam FROM pf",
+        "best_config_fixture": pooled + "SELECT 'TF_IDF' AS vectorizer, k, f_spam FROM pf WHERE f_spam IS NOT NULL ORDER BY f_spam DESC, k LIMIT 1",
+        "fit_optimality": preset_terms + "SELECT term, true AS optimal FROM vocab UNION ALL SELECT NULL, true",
+        "mail_folder": (
+            f"WITH {mails} SELECT file_name, CASE WHEN len(string_split(file_name, '.')) >= 3 THEN string_split(file_name, '.')[3] ELSE 'ezezaguna' END AS sender, "
+            "CASE WHEN len(string_split(file_name, '.')) >= 2 THEN try_strptime(string_split(file_name, '.')[2], '%Y-%m-%d')::DATE END AS sent_date, "
+            f"length(text) AS n_chars, md5(text) AS text_md5, {Q.clean_text('text')} AS clean FROM m"
+        ),
+        "score_stream_recovered": mailed + "SELECT doc_id AS file_name, round(margin, 6) AS margin, prediction FROM pr",
         "score_raw_text": everything + "SELECT pr.doc_id, pr.prediction || ', \"' || replace(d.text, '\\\"', '\\\\\"') || '\"' AS line FROM pr JOIN documents d ON pr.doc_id = d.doc_id",
         "confusion_matrix": fixture + "SELECT label, prediction, n FROM cm",
         "quality_report": quality,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from mailspark.config import MAX_ITER, PRESET_RIDGE, VectorizerConfig
 from mailspark.operators.evaluate import quality_report
-from mailspark.operators.model import TextModel, doc_vectors, fit_logistic, model_from_fit, score_counts, with_y
+from mailspark.operators.model import TextModel, doc_vectors, fit_logistic, model_from_fit, score_counts, sized_partitions, with_y
 from mailspark.operators.split import stratified_split
 from mailspark.operators.terms import doc_term_counts
 from mailspark.operators.vocab import fit_vocabulary
@@ -21,7 +21,8 @@ def fit_text_model(train_docs: DataFrame, cfg: VectorizerConfig, ridge: float =
     n = train_docs.count()
     vocab = fit_vocabulary(counts.filter(F.col("term").isNotNull()), n, cfg)
     vectors = with_y(doc_vectors(counts, vocab)).persist(StorageLevel.MEMORY_AND_DISK)
-    lr = fit_logistic(vectors, ridge, n, max_iter)
+    vectors.count()
+    lr = fit_logistic(vectors, ridge, n, max_iter, partitions=sized_partitions(vectors))
     model = model_from_fit(vocab, lr, ridge)
     vectors.unpersist()
     counts.unpersist()
@@ -43,9 +44,10 @@ def holdout_quality(docs: DataFrame, cfg: VectorizerConfig, ridge: float = PRESE
     train = parts.filter(F.col("part") == "train").select("doc_id", "text", "label")
     test = parts.filter(F.col("part") == "test").select("doc_id", "text", "label")
     model = fit_text_model(train, cfg, ridge, max_iter)
-    report = quality_report(score_docs(test, model)).cache()
-    report.count()
-    return report
+    report = quality_report(score_docs(test, model))
+    rows = docs.sparkSession.createDataFrame(report.collect(), report.schema)  # nine rows
+    model.unpersist()
+    return rows
 
 
 def train_final(docs: DataFrame, cfg: VectorizerConfig, ridge: float = PRESET_RIDGE, max_iter: int = MAX_ITER) -> TextModel:

@@ -71,7 +71,44 @@ def hadoop_path_exists_dir(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
 
 
+def _path_and_fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file unless one of that name is there; False if so. The
+    file system decides between writers who try at once."""
+    p, fs = _path_and_fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # noqa: BLE001 - a Java exception
+        if fs.exists(p):
+            return False
+        raise e
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def small_files(spark: SparkSession, path: str) -> dict[str, str]:
+    """Names and contents (up to 4 KB) of the files of a folder that holds a
+    few small ones; none where there is no folder."""
+    p, fs = _path_and_fs(spark, path)
+    found = {}
+    if fs.exists(p):
+        for status in fs.listStatus(p):
+            stream = fs.open(status.getPath())
+            try:
+                found[status.getPath().getName()] = bytes(stream.readNBytes(4096)).decode()
+            finally:
+                stream.close()
+    return found
+
+
 __all__ = [
+    "create_file",
+    "small_files",
     "local_session",
     "ensure_checkpoint_dir",
     "scratch_table_path",

@@ -1,71 +1,26 @@
 """Mail folders as a DataFrame source.
 
-One ``*.txt`` file is one row: ``spark.read.text(wholetext=True)`` with a
-case-sensitive ``*.txt`` glob, no recursion. Spark's file scan skips
-zero-length files while the reference keeps them as empty mails, so the
-zero-length names are listed through the Hadoop FileSystem API (metadata
-only) and added back with empty text. Names starting with ``_`` or ``.``
-are hidden by Spark and are left out here too (a deliberate difference).
-A missing folder gives zero rows, not an error. Text is read as UTF-8.
+One ``*.txt`` file is one row, read by the ``mails`` format: the folder is
+listed once, tasks read slices of the listing, and zero-length files are mails
+with empty text. Names starting with ``_`` or ``.`` are left out (a deliberate
+difference), sub-folders are not read. A missing folder gives zero rows, not an
+error. Text is read as UTF-8.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailspark.functions.text import HAM, SPAM, parse_sender, parse_sent_date
-from mailspark.session import hadoop_path_exists_dir
-
-log = logging.getLogger(__name__)
-
-MAIL_SCHEMA = "doc_id STRING, file_name STRING, text STRING, label STRING, sender STRING, sent_date DATE"
-GLOB = "*.txt"
-
-
-def _empty_txt_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(full path, name) of zero-length ``*.txt`` files directly in ``path``."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    out = []
-    hidden = 0
-    listing = fs.listStatusIterator(p)
-    while listing.hasNext():
-        st = listing.next()
-        name = st.getPath().getName()
-        if not st.isFile() or not name.endswith(".txt"):
-            continue
-        if name.startswith(("_", ".")):
-            hidden += 1
-        elif st.getLen() == 0:
-            out.append((st.getPath().toUri().toString(), name))  # the form that the scan's file_path has
-    if hidden:
-        log.warning("mail folder %s: %d files are hidden by their names and not read", path, hidden)
-    return out
+from mailspark.sources.mail_format import register
 
 
 def read_mail_folder(spark: SparkSession, path: str, label: str | None = None) -> DataFrame:
     """``(doc_id, file_name, text, label, sender, sent_date)``;
     ``doc_id`` is the full file path (unique across folders)."""
-    if not hadoop_path_exists_dir(spark, path):
-        log.warning("mail folder %s does not exist or is not a directory: no rows", path)
-        return spark.createDataFrame([], MAIL_SCHEMA)
-    files = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", GLOB)
-        .option("recursiveFileLookup", False)
-        .option("encoding", "UTF-8")
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("doc_id"), F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
-    )
-    empties = _empty_txt_files(spark, path)
-    if empties:
-        files = files.unionByName(spark.createDataFrame([(p, n, "") for p, n in empties], "doc_id STRING, file_name STRING, text STRING"))
-    return files.select(
+    register(spark)
+    return spark.read.format("mails").load(path).select(
         "doc_id",
         "file_name",
         "text",
@@ -75,6 +30,13 @@ def read_mail_folder(spark: SparkSession, path: str, label: str | None = None) -
     )
 
 
+def write_mail_folder(mails: DataFrame, path: str) -> None:
+    """The inverse: each row of ``(file_name, text)`` as a file of ``path``.
+    Files of other names stay."""
+    register(mails.sparkSession)
+    mails.select("file_name", "text").write.format("mails").mode("append").save(path)
+
+
 def read_labelled_folders(spark: SparkSession, ham_dir: str, spam_dir: str) -> DataFrame:
     """Ham folder then spam folder, unioned by name."""
     return read_mail_folder(spark, ham_dir, HAM).unionByName(read_mail_folder(spark, spam_dir, SPAM))

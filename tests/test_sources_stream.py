@@ -6,10 +6,11 @@ import tempfile
 from mailspark.config import VectorizerConfig
 from mailspark.plans.score import score_folders
 from mailspark.plans.train import fit_text_model, score_docs
-from mailspark.sources.folders import read_labelled_folders, read_mail_folder
+from mailspark.sources.folders import read_labelled_folders, read_mail_folder, write_mail_folder
+from mailspark.sources.mail_format import MailStream, slices
 from mailspark.sources.sinks import write_prediction_lines
 from mailspark.sources.tables import labelled_docs
-from mailspark.streaming.score_stream import mail_folder_stream, start_scoring
+from mailspark.streaming.score_stream import mail_folder_stream, read_scores, start_scoring
 
 
 def make_folder():
@@ -65,5 +66,65 @@ def test_stream_equals_batch(spark):
     q = start_scoring(mail_folder_stream(spark, d), m, out, keep=("doc_id", "file_name"), available_now=True)
     q.awaitTermination()
     streamed = {r["file_name"]: r["probability"] for r in spark.read.parquet(out).collect()}
-    batch = {r["file_name"]: r["probability"] for r in score_folders(spark, [d], m).collect() if r["file_name"] in streamed}
-    assert streamed == batch and "0006.2003-12-18.GP.spam.txt" in streamed
+    batch = {r["file_name"]: r["probability"] for r in score_folders(spark, [d], m).collect()}
+    assert streamed == batch and set(streamed) == {"0006.2003-12-18.GP.spam.txt", "empty.txt"}
+
+
+def test_mails_are_read_in_slices(spark):
+    d = tempfile.mkdtemp(prefix="mailspark-slices-")
+    for i in range(25):
+        with open(f"{d}/m{i:02d}.txt", "wb") as f:
+            f.write([b"", "ñandú 漢字".encode(), b"bad \xff byte"][i % 3])
+    read = spark.read.format("mails").option("filesPerSlice", 10).load(d)
+    assert read.rdd.getNumPartitions() == 3
+    got = {r["file_name"]: r["text"] for r in read.collect()}
+    assert got == {f"m{i:02d}.txt": ["", "ñandú 漢字", "bad \ufffd byte"][i % 3] for i in range(25)}
+    assert {r["doc_id"] for r in read_mail_folder(spark, "file://" + d).collect()} == {f"{d}/{n}" for n in got}
+    assert [len(s.names) for s in slices([("a", 10), ("b", 100 << 20), ("c", 0)])] == [2, 1]
+
+
+def test_written_mails_come_back(spark):
+    rows = [(f"{i}.txt", t) for i, t in enumerate(["one", "", None, "two\r\nlines", "x" * 100_000])]
+    d = tempfile.mkdtemp(prefix="mailspark-write-") + "/in/here"
+    mails = spark.createDataFrame(rows, "file_name string, text string")
+    write_mail_folder(mails.repartition(3), d)
+    write_mail_folder(mails.limit(2), d)  # again: the same files
+    assert {r["file_name"]: r["text"] for r in read_mail_folder(spark, d).collect()} == {n: t or "" for n, t in rows}
+
+
+def test_stream_goes_on_after_a_stop(spark):
+    """Files arrive while no query runs, with names before and after those seen; a stop leaves rows that are not committed."""
+    root = tempfile.mkdtemp(prefix="mailspark-restart-")
+    m = fit_text_model(labelled_docs(spark, "/root/testdata/sf0.001"), VectorizerConfig(words_to_keep=50), 1.0, 50)
+
+    def arrive(names):
+        write_mail_folder(spark.createDataFrame([(n, f"text of {n}" * (len(n) % 2)) for n in names], "file_name string, text string"), f"{root}/in")
+
+    def run():
+        stream = mail_folder_stream(spark, f"{root}/in", f"{root}/files")
+        start_scoring(stream, m, f"{root}/out", keep=("file_name",), checkpoint=f"{root}/ckpt", available_now=True).awaitTermination()
+
+    schema = "file_name string, margin double, probability double, prediction string"
+    arrive(["m.txt", "n1.txt"])
+    run()
+    arrive(["a.txt", "z.txt", "m2.txt"])
+    # a batch that was written but not committed
+    read_scores(spark, f"{root}/out", schema).drop("batch_id").write.parquet(f"{root}/out/batch_id=7")
+    assert {r["file_name"] for r in read_scores(spark, f"{root}/out", schema).collect()} == {"m.txt", "n1.txt"}
+    run()
+    run()  # nothing new
+    got = sorted((r["file_name"], r["probability"]) for r in read_scores(spark, f"{root}/out").collect())
+    assert got == sorted((r["file_name"], r["probability"]) for r in score_folders(spark, [f"{root}/in"], m).collect())
+    assert read_scores(spark, f"{root}/none", schema).count() == 0
+
+
+def test_stream_offsets_are_replayed(spark):
+    d = make_folder()
+    first = MailStream(d, d + "/log", 100)
+    assert first.latestOffset() == {"n": 1} == first.latestOffset()
+    with open(d + "/0.txt", "w") as f:
+        f.write("late")
+    again = MailStream(d, d + "/log", 100)  # after a restart
+    names = lambda r, a, b: [n for s in r.partitions({"n": a}, {"n": b}) for n in s.names]
+    assert names(again, 0, 1) == ["0006.2003-12-18.GP.spam.txt", "empty.txt"]
+    assert again.latestOffset() == {"n": 2} and names(again, 1, 2) == ["0.txt"] and names(again, 2, 2) == []

@@ -45,22 +45,22 @@ def test_threshold_split_equals_rank_split(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_fold_vocabularies_equal_single_fits(spark):
+def test_fold_ranks_equal_single_vocabularies(spark):
+    """One pass at the largest K gives every hold's vocabulary for every K."""
     from mailspark.config import VectorizerConfig
     from mailspark.operators.split import train_folds
     from mailspark.operators.terms import doc_term_counts
-    from mailspark.operators.vocab import fit_fold_vocabularies, fit_vocabulary
+    from mailspark.operators.vocab import fit_vocabulary, fold_term_ranks
 
     d = labelled_docs(spark, "/root/testdata/sf0.001")
     f = d.join(train_folds(d, 3), "doc_id")
     cfg = VectorizerConfig(words_to_keep=30)
     counts = doc_term_counts(f, cfg, keep=("doc_id", "label", "fold")).cache()
-    stats = counts.groupBy("fold", "label", "term").agg(F.sum("f").alias("c"), F.count(F.lit(1)).alias("d"))
-    sizes = {r["fold"]: r["n"] for r in f.groupBy("fold").count().withColumnRenamed("count", "n").collect()}
-    many = fit_fold_vocabularies(stats, sizes, cfg, 3)
-    for i in range(3):
+    stats = counts.groupBy("fold", "label", "term").agg(F.sum("f").alias("c"), F.count(F.lit(1)).alias("d")).cache()
+    many = fold_term_ranks(stats, 60, 3).cache()
+    for i in range(4):  # the last: all folds
         st_i = stats.filter(F.col("fold") != i).groupBy("label", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
-        one = fit_vocabulary(None, sum(sizes.values()) - sizes[i], cfg, stats=st_i)
-        a, b = many[i].table.select("term", "idx", "df", "n_train"), one.table.select("term", "idx", "df", "n_train")
-        assert many[i].size == one.size and many[i].n_train == one.n_train
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        for k in (5, 30, 60):
+            one = fit_vocabulary(None, 10, cfg.with_k(k), stats=st_i)
+            a = {(r["term"], r["df"]) for r in many.filter((F.col("hold") == i) & (F.col("rk") <= k)).collect()}
+            assert a == {(r["term"], r["df"]) for r in one.table.collect()} and len(a) == one.size

@@ -4,7 +4,7 @@ Text is lower-cased, everything but letters becomes a blank, and every run of 1
 or at its left edge is hashed into ``buckets`` rows of an embedding table. A document's vector is the mean of its rows;
 a softmax layer over it gives language probabilities. Table and layer are trained by mini-batch stochastic gradient
 descent in numpy, on the driver, on a bounded sample: about ``per_lang`` rows of each learned language, drawn by a hash
-of doc_id; tasks turn them into sparse counts first. One part of the sample is held back: there a temperature is
+of doc_id and text, and no more than ``most_rows`` in all; tasks turn them into sparse counts first. One part of the sample is held back: there a temperature is
 fitted, and the score below which a prediction is rejected, so that at most ``reject_share`` of the correctly predicted
 held-back documents fall below it.
 
@@ -20,12 +20,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import chunks, free_memory, starts, tidy
+from mailspark.llm.common import byte_slices, starts, tidy
 
 
 @dataclass(frozen=True)
@@ -34,8 +33,7 @@ class LangConfig:
     dim: int = 16
     grams: int = 3
     per_lang: int = 600  # bound of the labelled sample, in rows of a language (in expectation)
-    max_langs: int = 512
-    most_chars: int = 20_000  # longer sampled texts are left to prediction, not training
+    most_rows: int = 300_000  # bound of the whole sample, shared by the languages (in expectation)
     epochs: int = 25
     batch: int = 32
     rate: float = 2.0
@@ -90,17 +88,17 @@ def sparse_counts(sample: DataFrame, cfg: LangConfig) -> DataFrame:
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(2).to_pylist()
-            for lo, hi in chunks(texts):
-                bucket, whose, _ = subwords(texts[lo:hi], cfg)
+        for batch in batches:
+            for b in byte_slices(batch, 2, 400_000):
+                many = b.num_rows
+                bucket, whose, _ = subwords(b.column(2).to_pylist(), cfg)
                 keys, n = np.unique(whose * cfg.buckets + bucket, return_counts=True)
                 doc = keys // cfg.buckets
-                per = np.bincount(doc, minlength=hi - lo)[: hi - lo]
-                total = np.bincount(doc, weights=n, minlength=hi - lo)
+                per = np.bincount(doc, minlength=many)[:many]
+                total = np.bincount(doc, weights=n, minlength=many)
                 off = pa.array(starts(per).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(off, pa.array((keys % cfg.buckets).astype(np.int32))), pa.ListArray.from_arrays(off, pa.array((n / total[doc]).astype(np.float32)))],
+                    [b.column(0), b.column(1), pa.ListArray.from_arrays(off, pa.array((keys % cfg.buckets).astype(np.int32))), pa.ListArray.from_arrays(off, pa.array((n / total[doc]).astype(np.float32)))],
                     ["doc_id", "lang", "bucket", "share"],
                 )
 
@@ -113,18 +111,16 @@ def remainder():
 
 
 def labelled_sample(docs: DataFrame, cfg: LangConfig) -> DataFrame:
-    """About ``per_lang`` rows of each language, by a hash of doc_id, among rows one may learn from."""
-    learn = docs.where((remainder() != 2) & F.col("lang").isNotNull() & (F.length("text") <= cfg.most_chars))
-    sizes = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").take(cfg.max_langs)
-    draw = F.pmod(F.xxhash64(F.lit(cfg.seed), F.col("doc_id").cast("long")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # the shares travel as a literal of at most max_langs entries
-    wanted = F.lit(False)
-    by_share: dict[float, list[str]] = {}
-    for r in sizes:
-        by_share.setdefault(min(1.0, cfg.per_lang / r["count"]), []).append(r["lang"])
-    for share, langs in by_share.items():
-        wanted = wanted | (F.col("lang").isin(*langs) & (draw < share))
-    return learn.where(wanted).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    """About ``per_lang`` rows of each language, fewer where all of them would pass ``most_rows``, by a hash of doc_id and text,
+    among rows one may learn from. Rows that repeat both are one."""
+    learn = docs.where((remainder() != 2) & F.col("lang").isNotNull())
+    learn = learn.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("text").cast("string").alias("text"))
+    sizes = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    each = min(cfg.per_lang, cfg.most_rows / max(1, sizes.count()))
+    # a row a language, and no more than the sample has
+    sizes = F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(cfg.most_rows))
+    draw = F.pmod(F.xxhash64(F.lit(cfg.seed), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return learn.where(F.col("text").isNotNull()).join(sizes, "lang").where(draw < each / F.col("n")).select("doc_id", "lang", "text").dropDuplicates()
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -179,33 +175,25 @@ def fit_numpy(rows: list, cfg: LangConfig) -> LangModel | None:
 
 
 def fit(docs: DataFrame, cfg: LangConfig = LangConfig()) -> LangModel | None:
-    """Learns from ``docs(doc_id, text, lang)``. What reaches the driver is bounded by ``per_lang`` x ``max_langs`` rows of
-    at most ``most_chars`` characters' subwords."""
+    """Learns from ``docs(doc_id, text, lang)``. What reaches the driver is bounded by ``most_rows`` rows of at
+    most ``buckets`` counts."""
     rows = sparse_counts(labelled_sample(docs, cfg), cfg).collect()
     return fit_numpy([tuple(r) for r in rows], cfg)
 
 
 def judge(texts: list, model: LangModel | None, cfg: LangConfig) -> tuple[list, np.ndarray, np.ndarray]:
     """Prediction, score and rejection of each text, over the whole text."""
-    names, scores, rejects = [], [], []
-    for lo, hi in chunks(texts):
-        n = hi - lo
-        if model is None:
-            names += ["und"] * n
-            scores.append(np.zeros(n))
-            rejects.append(np.ones(n, bool))
-            continue
-        bucket, whose, letters_in = subwords(texts[lo:hi], cfg)
-        count = np.bincount(whose, minlength=n)[:n].clip(1)
-        sums = [np.bincount(whose, weights=row[bucket], minlength=n)[:n] for row in model.table]
-        p = softmax((np.stack(sums, axis=1) / count[:, None] + model.bias) / model.temperature)
-        known = letters_in > 0
-        score = np.where(known, p.max(axis=1), 0.0)
-        names += [model.langs[i] if k else "und" for i, k in zip(p.argmax(axis=1), known)]
-        scores.append(score)
-        rejects.append(~known | (score < model.reject_below))
-    none = np.empty(0)
-    return names, np.concatenate([none, *scores]), np.concatenate([none.astype(bool), *rejects])
+    n = len(texts)
+    if model is None:
+        return ["und"] * n, np.zeros(n), np.ones(n, bool)
+    bucket, whose, letters_in = subwords(texts, cfg)
+    count = np.bincount(whose, minlength=n)[:n].clip(1)
+    sums = [np.bincount(whose, weights=row[bucket], minlength=n)[:n] for row in model.table]
+    p = softmax((np.stack(sums, axis=1) / count[:, None] + model.bias) / model.temperature)
+    known = letters_in > 0
+    score = np.where(known, p.max(axis=1), 0.0)
+    names = [model.langs[i] if k else "und" for i, k in zip(p.argmax(axis=1), known)]
+    return names, score, ~known | (score < model.reject_below)
 
 
 def predict(docs: DataFrame, model: LangModel | None, cfg: LangConfig = LangConfig()) -> DataFrame:
@@ -213,12 +201,13 @@ def predict(docs: DataFrame, model: LangModel | None, cfg: LangConfig = LangConf
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            names, score, rejected = judge(b.column(1).to_pylist(), model, cfg)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
-                ["doc_id", "held_out", "lang_pred", "score", "rejected"],
-            )
+        for batch in batches:
+            for b in byte_slices(batch, 1, 400_000):
+                names, score, rejected = judge(b.column(1).to_pylist(), model, cfg)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(2), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
+                    ["doc_id", "held_out", "lang_pred", "score", "rejected"],
+                )
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (remainder() == 2).alias("held_out"))
     return plain.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
@@ -227,11 +216,12 @@ def predict(docs: DataFrame, model: LangModel | None, cfg: LangConfig = LangConf
 def keep_identified(docs: DataFrame, cfg: LangConfig = LangConfig()) -> DataFrame:
     """``docs`` without the documents that the classifier rejects; columns unchanged. One narrow pass: the text alone
     decides, so no join is needed."""
-    model = fit(docs, cfg)
+    model, at = fit(docs, cfg), docs.columns.index("text")
 
-    @F.pandas_udf("boolean")
-    def accepted(text: pd.Series) -> pd.Series:
-        free_memory()
-        return pd.Series(~judge(text.tolist(), model, cfg)[2], dtype=bool)
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in byte_slices(batch, at, 400_000):
+                yield b.filter(pa.array(~judge(b.column(at).to_pylist(), model, cfg)[2]))
 
-    return docs.where(accepted(F.col("text").cast("string")))
+    return docs.mapInArrow(run, docs.schema)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import Stages, chunks, tidy
+from mailspark.llm.common import Stages, byte_slices, tidy
 
 
 @dataclass(frozen=True)
@@ -126,15 +126,9 @@ class WordIds:
         self.ids.update((w, data[lo:hi]) for w, lo, hi in zip(words, [0, *stops], stops))
 
 
-_KNOWN: dict[str, WordIds] = {}
-
-
 def word_ids(path: str, limit: int) -> WordIds:
-    """One per process, so that a worker's later tasks know the words of its earlier ones."""
-    if path not in _KNOWN:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _KNOWN[path] = WordIds(path, limit)
-    return _KNOWN[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordIds(path, limit)
 
 
 def pieces(docs: DataFrame, cfg: PackConfig, with_ids: bool = False) -> DataFrame:
@@ -145,17 +139,16 @@ def pieces(docs: DataFrame, cfg: PackConfig, with_ids: bool = False) -> DataFram
         known = word_ids(cfg.tokenizer, cfg.words)
         end = np.array([cfg.end_id], "<u4").tobytes()
         step = 4 * cfg.window
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in chunks(texts, 500_000):
-                split = [known.split(t) if t else [] for t in texts[lo:hi]]
+        for batch in batches:
+            for b in byte_slices(batch, 1, 500_000):
+                split = [known.split(t) if t else [] for t in b.column(1).to_pylist()]
                 known.learn(set().union(*split))
                 which, start, length, crc, total, ids = [], [], [], [], [], []
                 for i, words in enumerate(split):
                     data = b"".join(map(known.ids.__getitem__, words)) + end
                     for at in range(0, len(data), step):
                         part = data[at : at + step]
-                        which.append(lo + i)
+                        which.append(i)
                         start.append(at // 4)
                         length.append(len(part) // 4)
                         crc.append(zlib.crc32(part))

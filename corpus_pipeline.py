@@ -46,7 +46,7 @@ STAGES = [
     ("packing", pack_windows),
 ]
 
-#: SQL can't express a trained classifier, nor the packing; tests hold every stage against a brute-force version.
+#: SQL can't express a trained classifier, nor the packing; tests hold the whole chain against one in plain Python.
 ORACLE_SQL = None
 
 

@@ -42,17 +42,14 @@ def single(folded, cfg, ridge, fold, max_iter=500, tol=1e-12):
     return {terms[i]: c for i, c in enumerate(lr.coefficients.toArray())}, lr.intercept, cells
 
 
-@pytest.mark.parametrize("kind,ridge", [("TF_IDF", 1.0), ("BINARY", 10.0), ("TF_IDF_BIGRAMS", 0.01)])
-def test_joint_fits_equal_spark_ml(spark, folded, kind, ridge, monkeypatch):
-    seen = []
-    real = tune.fit_all
+def test_joint_fits_equal_spark_ml(spark, folded, monkeypatch):
+    """Three kinds, two K and two ridges fitted together; three points against single fits."""
+    seen, names = [], {}
+    real, packed = tune.fit_all, tune.pack_blocks
 
-    def keep(blocks, fits, widths, max_iter, tol, done):
+    def keep(blocks, fits, *rest):
         seen.extend(fits)
-        return real(blocks, fits, widths, max_iter, 1e-12, done)
-
-    names = {}
-    packed = tune.pack_blocks
+        return real(blocks, fits, *rest)
 
     def names_of(counts, terms, tok):
         names[tok] = {r["idx"]: r["term"] for r in terms.collect()}
@@ -60,22 +57,22 @@ def test_joint_fits_equal_spark_ml(spark, folded, kind, ridge, monkeypatch):
 
     monkeypatch.setattr(tune, "fit_all", keep)
     monkeypatch.setattr(tune, "pack_blocks", names_of)
-    cfg = VectorizerConfig.for_kind(kind, words_to_keep=40)
-    rows = tune.cross_validate(folded, [cfg], [20, 40], [ridge, 100.0], 3, 500)
-    assert {(r[0], r[1], r[2]) for r in rows} == {(kind, k, r) for k in (20, 40) for r in (ridge, 100.0)}
-    cells = {}
-    for fold in range(3):
-        want, intercept, got = single(folded, cfg, ridge, fold)
-        for k, v in got.items():
-            cells[k] = cells.get(k, 0) + v
-        m = next(m for m in seen if m.hold == fold and m.key == (kind, 40, ridge))
-        coef, free = m.coefficients()
-        ours = {names[0][j]: c for j, c in zip(m.cols, coef)}
-        # coefficients of weighted features, as Spark ML has them
-        assert set(ours) <= set(want)
-        assert max(abs(ours.get(t, 0.0) - c) for t, c in want.items()) < 1e-4 and abs(free - intercept) < 1e-4
-    f = next(r[4] for r in rows if r[:3] == (kind, 40, ridge))
-    assert f == f_of_counts(cells)
+    cfgs = [VectorizerConfig.for_kind(k, words_to_keep=30) for k in ("TF_IDF", "BINARY", "TF_IDF_BIGRAMS")]
+    rows = tune.cross_validate(folded, cfgs, [10, 30], [1.0, 10.0], 3, 500, tol=1e-11)
+    assert {r[:3] for r in rows} == {(c.kind, k, r) for c in cfgs for k in (10, 30) for r in (1.0, 10.0)}
+    for cfg, ridge in zip(cfgs, (1.0, 10.0, 1.0)):
+        cells = {}
+        for fold in range(3):
+            want, intercept, got = single(folded, cfg, ridge, fold)
+            for k, v in got.items():
+                cells[k] = cells.get(k, 0) + v
+            m = next(m for m in seen if m.hold == fold and m.key == (cfg.kind, 30, ridge))
+            coef, free = m.coefficients()
+            # coefficients of weighted features, as Spark ML has them
+            ours = {names[m.tok][j]: c for j, c in zip(m.cols, coef)}
+            assert set(ours) <= set(want)
+            assert max(abs(ours.get(t, 0.0) - c) for t, c in want.items()) < 1e-4 and abs(free - intercept) < 1e-4
+        assert next(r[4] for r in rows if r[:3] == (cfg.kind, 30, ridge)) == f_of_counts(cells)
 
 
 def test_rounds_have_one_job_and_few_rows(spark, folded):

@@ -55,7 +55,7 @@ class Phrases:
     top: int = 2000
     sketch_bits: int = 26
     block_bits: int = 16
-    slice_bytes: int = 12_000_000
+    slice_bytes: int = 5_000_000
 
 
 def segments(text: str, least: int = 1_000_000) -> Iterator[str]:
@@ -106,7 +106,7 @@ def prefix_cells(lead: np.ndarray, names: list[str], lang: np.ndarray, kinds: li
     acc = np.array([xxhash.xxh3_64_intdigest(x.encode(), seed=1) for x in kinds], np.uint64)[lang]
     for k in range(4):
         acc = mix64(acc * MULTIPLIER + values[lead[k]])
-        yield (acc >> np.uint64(64 - cfg.sketch_bits)).astype(np.int64)
+        yield (acc >> np.uint64(64 - cfg.sketch_bits)).astype(np.uint32)
 
 
 def plain(docs: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def sketch(docs: DataFrame, cfg: Phrases) -> DataFrame:
                 ids, names, lang, kinds = numbered(b.column(1).to_pylist(), b.column(0).to_pylist())
                 lead = windows(ids)
                 cells = np.concatenate([c[lead[k] > 0] for k, c in enumerate(prefix_cells(lead, names, lang, kinds, cfg))])
-                cells = np.sort(cells.astype(np.uint32))
+                cells.sort()
                 new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.empty(0, np.int64)
                 often = np.minimum(np.diff(np.append(new, len(cells))), 255).astype(np.uint8)
                 cells = cells[new]
@@ -165,7 +165,7 @@ def window_counts(docs: DataFrame, cells: bytes, cfg: Phrases) -> DataFrame:
                 lead = windows(ids)
                 keep = np.ones(len(ids), bool)
                 for k, cell in enumerate(prefix_cells(lead, names, lang, kinds, cfg)):
-                    keep &= (often[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
+                    keep &= (often[cell >> np.uint32(3)] >> (7 - (cell & np.uint32(7))).astype(np.uint8)) & 1 == 1
                     lead[k][~keep] = 0
                 word = ids > 0
                 lead, lang = lead[:, word].astype(np.uint64), lang[word].astype(np.uint64)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import Cache, Stages, chunks, components, mix64, starts, tidy
+from mailspark.llm.common import Cache, Stages, byte_slices, components, mix64, starts, tidy
 
 
 @dataclass(frozen=True)
@@ -109,10 +109,9 @@ def signatures(docs: DataFrame, cfg: MinMax) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Cache(xxhash.xxh3_64_intdigest)
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in chunks(texts):
-                sets = shingle_sets(texts[lo:hi], cfg.shingle, words)
+        for batch in batches:
+            for b in byte_slices(batch, 1, 400_000):
+                sets = shingle_sets(b.column(1).to_pylist(), cfg.shingle, words)
                 size = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(size)
                 off = starts(size[full])
@@ -125,7 +124,7 @@ def signatures(docs: DataFrame, cfg: MinMax) -> DataFrame:
                     f2[full] = np.add.reduceat(mix64(flat ^ np.uint64(0x5851F42D4C957F2D)), off[:-1])
                     bands = band_hashes(flat, off, cfg)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array(size), pa.array(f1.view(np.int64), mask=none), pa.array(f2.view(np.int64), mask=none), int_lists(np.where(none, 0, cfg.bands), bands)],
+                    [b.column(0), b.column(2), pa.array(size), pa.array(f1.view(np.int64), mask=none), pa.array(f2.view(np.int64), mask=none), int_lists(np.where(none, 0, cfg.bands), bands)],
                     ["doc_id", "t", "n", "f1", "f2", "bands"],
                 )
 
@@ -139,13 +138,12 @@ def full_sets(docs: DataFrame, cfg: MinMax) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Cache(xxhash.xxh3_64_intdigest)
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in chunks(texts):
-                sets = shingle_sets(texts[lo:hi], cfg.shingle, words)
+        for batch in batches:
+            for b in byte_slices(batch, 1, 400_000):
+                sets = shingle_sets(b.column(1).to_pylist(), cfg.shingle, words)
                 off = starts([len(s) for s in sets]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), lists], ["member", "shingles"])
+                yield pa.RecordBatch.from_arrays([b.column(0), lists], ["member", "shingles"])
 
     return docs.mapInArrow(run, "member long, shingles array<long>")
 
@@ -248,7 +246,10 @@ def near_duplicates(docs: DataFrame, cfg: MinMax = MinMax()) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, cfg: MinMax = MinMax()) -> DataFrame:
-    """``docs`` with one document of each group, all columns kept. Rows that repeat both doc_id and text count as one."""
-    kept = judged(docs, cfg).where("kept").select(F.col("doc_id").alias("_kept"), F.col("t").alias("_kept_text")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_kept_text"))
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    """``docs`` with one document of each group, all columns kept, whatever their names. Rows that repeat both doc_id and text
+    count as one."""
+    kept = judged(docs, cfg).where("kept").select(F.col("doc_id").alias("id"), "t").distinct()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("t"))
+    one = rows.join(kept, same, "left_semi").select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")).dropDuplicates(["doc_id", "text"])
+    return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

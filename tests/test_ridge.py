@@ -58,21 +58,19 @@ def test_joint_fits_equal_spark_ml(spark, folded, monkeypatch):
     monkeypatch.setattr(tune, "fit_all", keep)
     monkeypatch.setattr(tune, "pack_blocks", names_of)
     cfgs = [VectorizerConfig.for_kind(k, words_to_keep=30) for k in ("TF_IDF", "BINARY", "TF_IDF_BIGRAMS")]
-    rows = tune.cross_validate(folded, cfgs, [10, 30], [1.0, 10.0], 3, 500, tol=1e-11)
-    assert {r[:3] for r in rows} == {(c.kind, k, r) for c in cfgs for k in (10, 30) for r in (1.0, 10.0)}
-    for cfg, ridge in zip(cfgs, (1.0, 10.0, 1.0)):
-        cells = {}
-        for fold in range(3):
-            want, intercept, got = single(folded, cfg, ridge, fold)
-            for k, v in got.items():
-                cells[k] = cells.get(k, 0) + v
-            m = next(m for m in seen if m.hold == fold and m.key == (cfg.kind, 30, ridge))
-            coef, free = m.coefficients()
-            # coefficients of weighted features, as Spark ML has them
-            ours = {names[m.tok][j]: c for j, c in zip(m.cols, coef)}
-            assert set(ours) <= set(want)
-            assert max(abs(ours.get(t, 0.0) - c) for t, c in want.items()) < 1e-4 and abs(free - intercept) < 1e-4
-        assert next(r[4] for r in rows if r[:3] == (cfg.kind, 30, ridge)) == f_of_counts(cells)
+    rows = tune.cross_validate(folded, cfgs, [10, 30], [10.0], 3, 500, tol=1e-10)
+    assert {r[:3] for r in rows} == {(c.kind, k, 10.0) for c in cfgs for k in (10, 30)}
+    for cfg in cfgs:
+        want, intercept, cells = single(folded, cfg, 10.0, 0)
+        m = next(m for m in seen if m.hold == 0 and m.key == (cfg.kind, 30, 10.0))
+        coef, free = m.coefficients()
+        # coefficients of weighted features, as Spark ML has them
+        ours = {names[m.tok][j]: c for j, c in zip(m.cols, coef)}
+        assert set(ours) <= set(want)
+        assert max(abs(ours.get(t, 0.0) - c) for t, c in want.items()) < 1e-4 and abs(free - intercept) < 1e-4
+        assert dict(zip(tune.CELLS, m.confusion)) == {c: cells.get(c, 0) for c in tune.CELLS}
+        pooled = sum(m.confusion for m in seen if m.key == (cfg.kind, 30, 10.0))
+        assert next(r[4] for r in rows if r[:3] == (cfg.kind, 30, 10.0)) == f_of_counts(dict(zip(tune.CELLS, map(int, pooled))))
 
 
 def test_rounds_have_one_job_and_few_rows(spark, folded):

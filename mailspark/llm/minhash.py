@@ -8,10 +8,13 @@ documents that share a band are candidates. With J the similarity, a pair is mis
 Copies are folded first: documents with equal sets (128-bit fingerprint and size) are one member, named by a 64-bit hash of
 these; its set is made from the text of its first row (smallest doc_id, null last, then the text's hash). Then stars: in each of
 its bands a member is compared with a few drawn centres, not with all. Few bands still hold several components after
-that; there, pairs of different components are looked at inside the join, once, in the first band they share, and those
-come out whose sizes allow a link and whose long signatures (``sketch`` values at one bit each) agree in no fewer places than a
-linked pair's would five standard deviations below their mean (a chance of 3e-7 to err at the very threshold). They
-are confirmed on full sets too, so no link between different texts is lost and no group's pairs are listed.
+that; there, pairs of different components are looked at inside the join, and those
+come out whose sizes and odd sketches allow a link. An odd sketch has one bit for every cell, set where an odd number of the
+set's shingles fall; every shingle that only one of two sets holds flips one bit, so sketches never differ in more bits than the
+sets differ in shingles. The test therefore loses no link, and it lets hardly any other pair through: in 512 cells few of
+the differences of short texts meet, and texts of over ``short`` shingles have a second sketch of ``wide`` cells. First every
+member of such a band meets a few members drawn for this band, and what links is contracted; then the pairs of components that
+are still different. All are confirmed on full sets, so no link between different texts is lost and no group's pairs are listed.
 
 Results: documents with null or empty text, or without a word, have the empty set and link with nothing. Fewer than k
 words: the whole sequence is one shingle. A component is named by its smallest doc_id and keeps its first
@@ -41,14 +44,9 @@ class MinMax:
     rows: int = 4
     seed: int = 20_250_101
     centres: int = 4
-    sketch: int = 2048
-    deviations: float = 5.0
-
-    @property
-    def most_apart(self) -> int:
-        """Bits of the long signature in which a linked pair differs at most, but for ``deviations``."""
-        p = (1 + self.percent / 100) / 2
-        return int(np.ceil(self.sketch * (1 - p) + self.deviations * np.sqrt(self.sketch * p * (1 - p))))
+    sketch: int = 512
+    short: int = 200
+    wide: int = 4096
 
 
 def shingle_sets(texts: list, k: int, words: Cache) -> list[np.ndarray]:
@@ -158,33 +156,62 @@ def confirmed(pairs: DataFrame, sets: DataFrame, cfg: MinMax) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").where(near).select("a", "b")
 
 
+def odd_bits(flat: np.ndarray, off: np.ndarray, cells: int) -> np.ndarray:
+    """(sets, cells / 64): one bit a cell, set where an odd number of the set's shingles fall."""
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    count = np.bincount(row * cells + (mix64(flat) % np.uint64(cells)).astype(np.int64), minlength=(len(off) - 1) * cells)
+    return np.packbits((count & 1).astype(np.uint8).reshape(len(off) - 1, cells), axis=1).view(np.int64)
+
+
 def sketches(sets: DataFrame, cfg: MinMax) -> DataFrame:
-    """``(member, sketch)``: long signatures from full sets, one bit a value, 64 in a word."""
+    """``(member, sketch, wide)``: odd sketches of full sets, 64 cells in a word; ``wide`` is empty for sets of ``short`` shingles."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 200):
-                part = b.slice(lo, 200)
+            for lo in range(0, b.num_rows, 64):
+                part = b.slice(lo, 64)
                 lists = part.column(1)
                 off = lists.offsets.to_numpy()
                 flat = lists.values.to_numpy().view(np.uint64)[off[0] : off[-1]]
                 off = (off - off[0]).astype(np.int64)
-                out = np.zeros((len(off) - 1, cfg.sketch // 64), np.uint64)
-                for j, value in minmax(flat, off, cfg.sketch // 2, cfg.seed + 1):
-                    out[:, j // 64] |= (mix64(value) & np.uint64(1)) << np.uint64(j % 64)
-                yield pa.RecordBatch.from_arrays([part.column(0), int_lists(np.full(len(out), out.shape[1]), out)], ["member", "sketch"])
+                sketch = odd_bits(flat, off, cfg.sketch)
+                size = np.diff(off)
+                long = size > cfg.short
+                wide = odd_bits(flat[np.repeat(long, size)], starts(size[long]), cfg.wide)
+                lists = [int_lists(np.full(len(size), sketch.shape[1]), sketch), int_lists(np.where(long, cfg.wide // 64, 0), wide)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *lists], ["member", "sketch", "wide"])
 
-    return sets.select("member", "shingles").mapInArrow(run, "member long, sketch array<long>")
+    return sets.select("member", "shingles").mapInArrow(run, "member long, sketch array<long>, wide array<long>")
 
 
-def may_link(cfg: MinMax):
-    """Over columns of both sides: sizes allow a link and long signatures agree in enough bits."""
+def may_link(cfg: MinMax) -> Column:
+    """Over columns of both sides: sizes and odd sketches allow a link. Two linked sets of sizes ``na`` and ``nb`` differ in at most
+    ``(100 - percent) / (100 + percent) * (na + nb)`` shingles."""
     sizes = 100 * F.least("na", "nb") >= cfg.percent * F.greatest("na", "nb")
     apart = F.lit(0)
     for i in range(cfg.sketch // 64):
         apart = apart + F.bit_count(F.get("ka", F.lit(i)).bitwiseXOR(F.get("kb", F.lit(i))))
-    return sizes & (apart <= cfg.most_apart)
+    few = lambda n: (100 + cfg.percent) * n <= (100 - cfg.percent) * (F.col("na") + F.col("nb"))
+    # a side without a wide sketch leaves nulls, which count as equal
+    flips = F.zip_with("wa", "wb", lambda p, q: F.coalesce(F.bit_count(p.bitwiseXOR(q)), F.lit(0)))
+    return sizes & few(apart) & few(F.aggregate(flips, F.lit(0), lambda total, x: total + x))
+
+
+def split_bands(shared: DataFrame, comp: DataFrame, stages: Stages) -> DataFrame:
+    """``(no, band, member, comp)`` of the bands of ``shared`` that hold several components of ``comp(node, component)``."""
+    at = shared.select("no", "band", "member").join(comp.withColumnRenamed("node", "member"), "member", "left")
+    at = stages.keep(at.select("no", "band", "member", F.coalesce("component", "member").alias("comp")))
+    split = at.groupBy("no", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("no", "band")
+    left = stages.keep(at.join(split, ["no", "band"]))
+    stages.drop(at)
+    return left
+
+
+def side(left: DataFrame, known: DataFrame, x: str) -> DataFrame:
+    """Rows of ``left`` with what ``known`` says of their members, in columns named for side ``x`` of a join."""
+    names = {"member": x, "n": f"n{x}", "comp": f"c{x}", "sketch": f"k{x}", "wide": f"w{x}"}
+    return left.join(known, "member").select("no", "band", *[F.col(c).alias(new) for c, new in names.items()])
 
 
 def member_links(docs: DataFrame, members: DataFrame, cfg: MinMax, stages: Stages) -> DataFrame:
@@ -204,19 +231,24 @@ def member_links(docs: DataFrame, members: DataFrame, cfg: MinMax, stages: Stage
     stars = stars.select(F.least("c", "member").alias("a"), F.greatest("c", "member").alias("b")).distinct()
     links = stages.keep(confirmed(stars, sets, cfg))
     comp = components(links, stages)
-    # bands that still hold several components
-    at = shared.select("no", "band", "member").join(comp.withColumnRenamed("node", "member"), "member", "left")
-    at = stages.keep(at.select("no", "band", "member", F.coalesce("component", "member").alias("comp")))
-    split = stages.keep(at.groupBy("no", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("no", "band"))
-    left = stages.keep(at.join(split, ["no", "band"]))
+    left = split_bands(shared, comp, stages)
     known = sets.join(left.select("member").distinct(), "member", "left_semi")
-    known = stages.keep(sketches(known, cfg).join(members.select("member", "n", "bands"), "member"))
-    rest = left.join(known, "member")
-    side = lambda x: rest.select("no", "band", F.col("member").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"), F.col("sketch").alias(f"k{x}"), F.col("bands").alias(f"b{x}"))
-    first = F.array_position(F.zip_with("ba", "bb", lambda p, q: p == q), F.lit(True)) == F.col("no") + 1
-    tries = side("a").join(side("b"), ["no", "band"]).where("a < b and ca != cb").where(may_link(cfg)).where(first).select("a", "b")
+    known = stages.keep(sketches(known, cfg).join(members.select("member", "n"), "member"))
+    # members drawn for the band first, then all that are still apart
+    key = lambda i: F.struct(F.xxhash64(F.lit(i), "no", "band", "member").alias("r"), F.col("member").alias("m"))
+    some = left.groupBy("no", "band").agg(F.array_distinct(F.array(*[F.min(key(i))["m"] for i in range(cfg.centres)])).alias("some"))
+    some = left.join(some.select("no", "band", F.explode("some").alias("member")), ["no", "band", "member"])
+    tries = side(left, known, "a").join(side(some, known, "b"), ["no", "band"]).where("a != b and ca != cb").where(may_link(cfg))
+    tries = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    drawn = stages.keep(confirmed(tries, sets, cfg))
+    if not drawn.isEmpty():
+        links = links.union(drawn)
+        comp = components(links, stages)
+        stages.drop(left)
+        left = split_bands(shared, comp, stages)
+    tries = side(left, known, "a").join(side(left, known, "b"), ["no", "band"]).where("a < b and ca != cb").where(may_link(cfg)).select("a", "b").distinct()
     more = stages.keep(confirmed(tries, sets, cfg))
-    stages.drop(heads, shared, at, split, left)
+    stages.drop(heads, shared, left, known)
     return comp if more.isEmpty() else components(links.union(more), stages)
 
 

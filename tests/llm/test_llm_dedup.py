@@ -1,5 +1,6 @@
 """Near-duplicates of documents and vectors, repeated passages: brute force on small tables."""
 
+import itertools
 import re
 import zlib
 from collections import defaultdict
@@ -156,6 +157,40 @@ def test_minmax_uses_both_ends():
     assert (bands[0] == bands[1]).all() and not (bands[0] == bands[2]).any()
 
 
+def test_odd_sketches_never_differ_in_more_bits_than_the_sets():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 900, int(n)).astype(np.uint64)) for n in rng.integers(1, 1200, 40)]
+    for cells in (64, 2048):
+        bits = minhash.odd_bits(np.concatenate(sets), minhash.starts([len(s) for s in sets]), cells)
+        flips = lambda x, y: sum(int(v).bit_count() for v in (bits[x] ^ bits[y]).view(np.uint64))  # noqa: E731, B023
+        for x, y in itertools.combinations(range(40), 2):
+            assert flips(x, y) <= len(np.setxor1d(sets[x], sets[y]))
+    assert minhash.odd_bits(np.empty(0, np.uint64), np.zeros(1, np.int64), 64).shape == (0, 1)
+
+
+def test_pairs_to_confirm_grow_with_a_family_not_with_its_square(spark, monkeypatch):
+    """Families just under the threshold (none, or every so many, of their pairs link), of texts below and above ``short`` shingles."""
+    asked, plain = [], minhash.confirmed
+
+    def counting(pairs, sets, cfg):
+        asked.append(pairs.count())
+        return plain(pairs, sets, cfg)
+
+    monkeypatch.setattr(minhash, "confirmed", counting)
+    cfg = minhash.MinMax(shingle=3, percent=85)
+    for words, edits in ((200, 4), (200, 3), (1500, 28)):
+        totals = []
+        for n in (100, 400):
+            rng = np.random.default_rng(n)
+            texts = family(rng, [f"w{i}" for i in rng.integers(0, 3000, words)], n, edits)
+            asked.clear()
+            got = {r["doc_id"]: tuple(r)[1:] for r in minhash.near_duplicates(docs_of(spark, list(enumerate(texts))), cfg).collect()}
+            totals.append(sum(asked))
+            if n == 100:
+                assert got == brute_near(list(enumerate(texts)), 3, 85)
+        assert totals[1] < 6 * totals[0], (words, edits, totals)
+
+
 # vectors
 
 

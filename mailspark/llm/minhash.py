@@ -12,7 +12,7 @@ that; there, pairs of different components are looked at inside the join, and th
 come out whose sizes and odd sketches allow a link. An odd sketch has one bit for every cell, set where an odd number of the
 set's shingles fall; every shingle that only one of two sets holds flips one bit, so sketches never differ in more bits than the
 sets differ in shingles. The test therefore loses no link, and it lets hardly any other pair through: in 512 cells few of
-the differences of short texts meet, and texts of over ``short`` shingles have a second sketch of ``wide`` cells. First every
+the differences of short texts meet, and sets of over ``short`` shingles have a second sketch of ``wide`` cells. First every
 member of such a band meets a few members drawn for this band, and what links is contracted; then the pairs of components that
 are still different. All are confirmed on full sets, so no link between different texts is lost and no group's pairs are listed.
 
@@ -45,7 +45,7 @@ class MinMax:
     seed: int = 20_250_101
     centres: int = 4
     sketch: int = 512
-    short: int = 200
+    short: int = 0
     wide: int = 4096
 
 

@@ -18,7 +18,6 @@ are ignored.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 import unicodedata
@@ -60,14 +59,16 @@ class WordIds:
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        rules = json.loads(self.tokenizer.to_str())
-        self.special = [t["content"].encode().lower() for t in rules.get("added_tokens") or []]
-        # for lower-case letters, which the tokenizer's normaliser and cutter leave as they are
-        bytes_ = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        cutter = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, bytes_]}
-        self.plain = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "pre_tokenizer": cutter}))
+        added = [t for _, t in sorted(self.tokenizer.get_added_tokens_decoder().items())]
+        self.special = [t.content.encode().lower() for t in added]
+        # for lower-case letters, which the tokenizer's normaliser and cutter leave as they are; both share one model
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.add_special_tokens([t for t in added if t.special])
+        self.plain.add_tokens([t for t in added if not t.special])
+        self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])
         self.ids: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()

@@ -5,6 +5,7 @@ recovery (ST1)."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,8 @@ def hold_models(stats: DataFrame, sizes: dict[int, int], k_max: int, n_folds: in
     coefs = by_class.groupBy("hold", "term").agg(coef.alias("coef"))
     ranks = V.fold_term_ranks(stats, k_max, n_folds).filter(F.col("hold") < n_folds)
     n = F.element_at(F.array(*[F.lit(sum(sizes.values()) - sizes.get(i, 0)) for i in range(n_folds)]), F.col("hold") + 1)
-    return ranks.join(coefs, ["hold", "term"]).select("hold", "term", "rk", F.log(n.cast("double") / F.col("df").cast("double")).alias("idf"), "coef")
+    # broadcast: as bounded as the models
+    return coefs.join(F.broadcast(ranks), ["hold", "term"]).select("hold", "term", "rk", F.log(n.cast("double") / F.col("df").cast("double")).alias("idf"), "coef")
 
 
 def out_of_fold_margins(counts_outer: DataFrame, models: DataFrame, ks, intercept: float) -> DataFrame:
@@ -41,7 +43,8 @@ def out_of_fold_margins(counts_outer: DataFrame, models: DataFrame, ks, intercep
     has not seen its fold, for several K at once: counts meet the models of
     all holds in one join on (fold, term), and a term counts towards each K
     that holds it. Documents without a model term keep the intercept."""
-    joined = counts_outer.join(models.withColumnRenamed("hold", "fold"), ["fold", "term"], "left")
+    # broadcast: at most K terms per hold and class, plus ties; counts never move by term
+    joined = counts_outer.join(F.broadcast(models.withColumnRenamed("hold", "fold")), ["fold", "term"], "left")
     part = F.log1p(F.col("f").cast("double")) * F.col("idf") * F.col("coef")
     sums = [(F.coalesce(F.sum(F.when(F.col("rk") <= k, part)), F.lit(0.0)) + F.lit(intercept)).alias(f"m{k}") for k in ks]
     return joined.groupBy("doc_id", "label").agg(*sums)
@@ -51,9 +54,12 @@ def _pooled(spark: SparkSession, docs: DataFrame) -> DataFrame:
     train = S.stratified_split(docs).filter(F.col("part") == "train").select("doc_id", "text", "label")
     folded = train.join(S.train_folds(train, N_FOLDS), "doc_id")
     counts = TM.doc_term_counts(folded, VectorizerConfig(), keep=("doc_id", "label", "fold"), outer=True)
-    stats = counts.filter(F.col("term").isNotNull()).groupBy("fold", "label", "term").agg(F.sum("f").alias("c"), F.count(F.lit(1)).alias("d"))
+    stats = counts.filter(F.col("term").isNotNull()).groupBy("fold", "label", "term").agg(F.sum("f").alias("c"), F.count(F.lit(1)).alias("d")).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    margins = out_of_fold_margins(counts, hold_models(stats, sizes, max(WORDS_TO_KEEP), N_FOLDS), WORDS_TO_KEEP, CV_INTERCEPT)
+    models = hold_models(stats, sizes, max(WORDS_TO_KEEP), N_FOLDS).persist(StorageLevel.MEMORY_AND_DISK)
+    models.count()
+    stats.unpersist()
+    margins = out_of_fold_margins(counts, models, WORDS_TO_KEEP, CV_INTERCEPT)
     says = F.array(*[F.struct(F.lit(k).alias("k"), (F.col(f"m{k}") > 0).alias("spam")) for k in WORDS_TO_KEEP])
     rows = margins.select((F.col("label") == T.SPAM).alias("true"), F.inline(says))
     n = lambda c: F.count(F.when(c, 1))

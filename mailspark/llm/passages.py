@@ -55,6 +55,7 @@ class Spans:
     shortest: int = 4
     longest: int = 8
     cells: int = 1 << 20
+    cached: int = 50_000  # words whose hashes a task remembers (twice as many at most)
 
 
 def word_value(word: str) -> int:
@@ -65,7 +66,7 @@ def word_value(word: str) -> int:
 
 
 def picker(cfg: Spans) -> Cache:
-    return Cache(word_value)
+    return Cache(word_value, cfg.cached)
 
 
 def words_of(text: str) -> list[str]:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailspark.config import GridSpec, VectorizerConfig
+from mailspark.operators import ridge
 from mailspark.operators.evaluate import f_of_counts
 from mailspark.operators.model import TextModel, doc_vectors, fit_logistic, gradient_at, load_model, model_versions, save_model, sized_partitions, with_y
 from mailspark.operators.ridge import Fit, fit_all, pack_blocks, persist_blocks
@@ -189,3 +190,34 @@ def test_partitions_by_bytes(spark):
     rows.count()
     assert sized_partitions(rows) == 1 and sized_partitions(rows, target=400_000) >= 4
     rows.unpersist()
+
+
+def test_shared_second_derivatives_save_rounds(spark, monkeypatch):
+    """Terms that come together: fewer rounds to the same optimum, and TF and TF-IDF, one problem, are fitted once."""
+    draw = np.random.default_rng(5)
+    rows = []
+    for i in range(240):
+        topic = draw.integers(0, 4)
+        text = " ".join([f"a{topic}"] * draw.integers(1, 4) + [f"b{topic}"] * draw.integers(0, 3) + [f"c{x}" for x in draw.integers(0, 12, 8)])
+        rows.append((i, text.translate(str.maketrans("0123456789", "qwertyuiop")), "spam" if draw.random() < 0.15 + 0.2 * topic else "ham", i % 3))
+    folded = spark.createDataFrame(rows, "doc_id long, text string, label string, fold int").cache()
+    cfgs = [VectorizerConfig.for_kind(k) for k in ("TF", "TF_IDF")]
+    seen, widest, rounds = [], [], []
+    real, one_round = tune.fit_all, ridge._round
+
+    def keep(blocks, fits, *rest):
+        seen.append(fits)
+        rounds.append(real(blocks, fits, *rest))
+
+    monkeypatch.setattr(tune, "fit_all", keep)
+    monkeypatch.setattr(ridge, "_round", lambda blocks, groups: (widest.append(sum(g.w.shape[1] for g in groups)), one_round(blocks, groups))[1])
+    points = tune.cross_validate(folded, cfgs, [20], [1e-4, 1.0], 3, 500, tol=1e-10)
+    assert len(seen[0]) == 12 and max(widest) == 6 and len(points) == 4
+    monkeypatch.setattr(ridge, "_curves", lambda *a: None)
+    plain = tune.cross_validate(folded, cfgs, [20], [1e-4, 1.0], 3, 500, tol=1e-10)
+    assert rounds[0] < 0.7 * rounds[1], rounds
+    assert sorted(points) == sorted(plain)
+    by_key = {(m.key, m.hold): m for m in seen[1]}
+    for m in seen[0]:
+        (coef, free), (want, also) = m.coefficients(), by_key[m.key, m.hold].coefficients()
+        assert np.allclose(coef, want, atol=1e-3) and abs(free - also) < 1e-3

@@ -24,9 +24,11 @@ Empty table: no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ ENDS = re.compile(f"[{PIECE_ENDS}]")
 TOKEN = re.compile(f"[{PIECE_ENDS}]|[^ \t{PIECE_ENDS}]+")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 WORDS = ["w1", "w2", "w3", "w4"]
+#: Windows, cells or rows of a slice that are worked on together.
+STRIDE = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -74,18 +78,19 @@ def numbered(texts: list[str | None], langs: list[str]) -> tuple[np.ndarray, lis
     number: defaultdict[str, int] = defaultdict()
     number.default_factory = number.__len__
     ends = [number[m] for m in PIECE_ENDS]
-    find, many, parts = TOKEN.findall, [], []
+    find, many, parts = TOKEN.findall, [], array("i")
     for t in texts:
         # bytes are folded in their ASCII letters alone
         ids = [i for x in segments(t) for i in map(number.__getitem__, find(x.encode().lower().decode()))] if t else []
         ids.append(0)
-        parts += ids
+        parts.extend(ids)
         many.append(len(ids))
+    number.default_factory = None  # it refers to the dictionary itself, whose words would stay until the next full garbage collection
     kinds = sorted(set(langs))
     place = {x: k for k, x in enumerate(kinds)}
     lang = np.repeat(np.array([place[x] for x in langs], np.int32), many)
     # all ends of pieces become number 0
-    return np.maximum(np.array(parts, np.int32) - ends[-1], 0), list(number)[ends[-1] :], lang, kinds
+    return np.maximum(np.frombuffer(parts, np.int32) - np.int32(ends[-1]), 0), list(number)[ends[-1] :], lang, kinds
 
 
 def windows(ids: np.ndarray) -> np.ndarray:
@@ -100,13 +105,90 @@ def windows(ids: np.ndarray) -> np.ndarray:
     return lead
 
 
-def prefix_cells(lead: np.ndarray, names: list[str], lang: np.ndarray, kinds: list[str], cfg: Phrases) -> Iterator[np.ndarray]:
-    """The sketch cells of the windows' prefixes of 1, 2, 3 and 4 words."""
+def prefix_cells(lead: np.ndarray, names: list[str], lang: np.ndarray, kinds: list[str], cfg: Phrases) -> Iterator[tuple[int, slice, np.ndarray]]:
+    """``(k, rows, cells)``: the sketch cells of the windows' prefixes of k + 1 words, ``STRIDE`` windows at a time; all
+    prefixes of some windows come before the next ones."""
     values = np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in names], np.uint64)
-    acc = np.array([xxhash.xxh3_64_intdigest(x.encode(), seed=1) for x in kinds], np.uint64)[lang]
-    for k in range(4):
-        acc = mix64(acc * MULTIPLIER + values[lead[k]])
-        yield (acc >> np.uint64(64 - cfg.sketch_bits)).astype(np.uint32)
+    first = np.array([xxhash.xxh3_64_intdigest(x.encode(), seed=1) for x in kinds], np.uint64)
+    for lo in range(0, len(lang), STRIDE):
+        rows = slice(lo, lo + STRIDE)
+        acc = first[lang[rows]]
+        for k in range(4):
+            acc = mix64(acc * MULTIPLIER + values[lead[k, rows]])
+            yield k, rows, (acc >> np.uint64(64 - cfg.sketch_bits)).astype(np.uint32)
+
+
+def changes(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where rows differ from the one before, the first row among them."""
+    new = np.zeros(len(sorted_columns[0]), bool)
+    new[:1] = True
+    for c in sorted_columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes. A batch is let go before the next one is read."""
+    for batch in batches:
+        yield from byte_slices(batch, column, most)
+        del batch
+
+
+def cell_counts(b: pa.RecordBatch, cfg: Phrases) -> Iterator[pa.RecordBatch]:
+    """``(block, at, n)`` of a slice ``(lang, text)``: which cells of a block it has, and how often, up to 255."""
+    ids, names, lang, kinds = numbered(b.column(1).to_pylist(), b.column(0).to_pylist())
+    lead = windows(ids)
+    cells, n = np.empty(np.count_nonzero(lead), np.uint32), 0
+    for k, rows, cell in prefix_cells(lead, names, lang, kinds, cfg):
+        cell = cell[lead[k, rows] > 0]
+        cells[n : n + len(cell)] = cell
+        n += len(cell)
+    del ids, names, lang, lead
+    cells.sort()
+    block, lo = 1 << cfg.block_bits, 0
+    while lo < len(cells):
+        # some cells at a time, up to the end of a block
+        last = int(cells[min(lo + STRIDE, len(cells)) - 1]) >> cfg.block_bits
+        hi = int(np.searchsorted(cells, np.uint64((last + 1) << cfg.block_bits)))
+        new = changes(cells[lo:hi])
+        often = np.minimum(np.diff(new, append=hi - lo), 255).astype(np.uint8)
+        some = cells[lo:hi][new]
+        own = some >> np.uint32(cfg.block_bits)
+        first = changes(own)
+        low = (some & np.uint32(block - 1)).astype(np.uint16)
+        ends = [*first[1:].tolist(), len(own)]
+        at = [low[i:j].tobytes() for i, j in zip(first.tolist(), ends)]
+        n = [often[i:j].tobytes() for i, j in zip(first.tolist(), ends)]
+        yield pa.RecordBatch.from_arrays([pa.array(own[first].astype(np.int32)), pa.array(at, pa.binary()), pa.array(n, pa.binary())], ["block", "at", "n"])
+        lo = hi
+
+
+def padded_windows(b: pa.RecordBatch, often: np.ndarray, cfg: Phrases) -> Iterator[pa.RecordBatch]:
+    """``(lang, w1, w2, w3, w4, c)`` of a slice ``(lang, text)``, ``STRIDE`` rows at a time."""
+    ids, names, lang, kinds = numbered(b.column(1).to_pylist(), b.column(0).to_pylist())
+    lead = windows(ids)
+    for k, rows, cell in prefix_cells(lead, names, lang, kinds, cfg):
+        keep = (keep if k else True) & ((often[cell >> np.uint32(3)] >> (7 - (cell & np.uint32(7))).astype(np.uint8)) & 1 == 1)
+        lead[k, rows][~keep] = 0
+    word, words = ids > 0, pa.array([None, *names[1:]], pa.string())
+    del ids, names
+    low = np.uint64(0xFFFFFFFF)
+    for x in range(len(kinds)):
+        own = np.flatnonzero(word & (lang == x))
+        # two keys a window; padding is 0 from some word on
+        left, right = (lead[k, own].astype(np.uint64) << np.uint64(32) | lead[k + 1, own].astype(np.uint64) for k in (0, 2))
+        del own
+        order = np.lexsort((right, left))
+        left, right = left[order], right[order]
+        del order
+        new = changes(left, right)
+        c = np.diff(new, append=len(left))
+        left, right = left[new], right[new]
+        del new
+        for lo in range(0, len(c), STRIDE):
+            p, q = left[lo : lo + STRIDE], right[lo : lo + STRIDE]
+            cols = [words.take(pa.array(v.astype(np.int64))) for v in (p >> np.uint64(32), p & low, q >> np.uint64(32), q & low)]
+            yield pa.RecordBatch.from_arrays([pa.array([kinds[x]] * len(p), pa.string()), *cols, pa.array(c[lo : lo + STRIDE])], ["lang", *WORDS, "c"])
 
 
 def plain(docs: DataFrame) -> DataFrame:
@@ -119,33 +201,18 @@ def sketch(docs: DataFrame, cfg: Phrases) -> DataFrame:
 
     @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in byte_slices(batch, 1, cfg.slice_bytes):
-                ids, names, lang, kinds = numbered(b.column(1).to_pylist(), b.column(0).to_pylist())
-                lead = windows(ids)
-                cells = np.concatenate([c[lead[k] > 0] for k, c in enumerate(prefix_cells(lead, names, lang, kinds, cfg))])
-                cells.sort()
-                new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.empty(0, np.int64)
-                often = np.minimum(np.diff(np.append(new, len(cells))), 255).astype(np.uint8)
-                cells = cells[new]
-                own = cells >> np.uint32(cfg.block_bits)
-                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.empty(0, np.int64)
-                low = (cells & np.uint32(block - 1)).astype(np.uint16)
-                ends = [*first[1:].tolist(), len(own)]
-                at = [low[i:j].tobytes() for i, j in zip(first.tolist(), ends)]
-                n = [often[i:j].tobytes() for i, j in zip(first.tolist(), ends)]
-                yield pa.RecordBatch.from_arrays([pa.array(own[first].astype(np.int32)), pa.array(at, pa.binary()), pa.array(n, pa.binary())], ["block", "at", "n"])
+        return chain.from_iterable(map(lambda b: cell_counts(b, cfg), text_slices(batches, 1, cfg.slice_bytes)))
 
     @tidy
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for key, at, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for key, at, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 held = sums.get(key)
                 if held is None:
                     held = sums[key] = np.zeros(block, np.uint8)
-                at = np.frombuffer(at, np.uint16)
-                held[at] = np.minimum(held[at].astype(np.uint16) + np.frombuffer(n, np.uint8), 255)
+                at = np.frombuffer(at.as_buffer(), np.uint16)
+                held[at] = np.minimum(held[at].astype(np.uint16) + np.frombuffer(n.as_buffer(), np.uint8), 255)
         bits = [np.packbits(x >= cfg.least).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], ["block", "bits"])
 
@@ -159,29 +226,7 @@ def window_counts(docs: DataFrame, cells: bytes, cfg: Phrases) -> DataFrame:
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.frombuffer(cells, np.uint8)
-        for batch in batches:
-            for b in byte_slices(batch, 1, cfg.slice_bytes):
-                ids, names, lang, kinds = numbered(b.column(1).to_pylist(), b.column(0).to_pylist())
-                lead = windows(ids)
-                keep = np.ones(len(ids), bool)
-                for k, cell in enumerate(prefix_cells(lead, names, lang, kinds, cfg)):
-                    keep &= (often[cell >> np.uint32(3)] >> (7 - (cell & np.uint32(7))).astype(np.uint8)) & 1 == 1
-                    lead[k][~keep] = 0
-                word = ids > 0
-                lead, lang = lead[:, word].astype(np.uint64), lang[word].astype(np.uint64)
-                # two keys a window; padding is 0 from some word on
-                left, right = (lead[0] << np.uint64(32)) | lead[1], (lead[2] << np.uint64(32)) | lead[3]
-                for x in range(len(kinds)):
-                    own = np.flatnonzero(lang == x)
-                    order = own[np.lexsort((right[own], left[own]))]
-                    p, q = left[order], right[order]
-                    new = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])])) if len(p) else np.empty(0, np.int64)
-                    c = np.diff(np.append(new, len(p)))
-                    p, q = p[new], q[new]
-                    low = np.uint64(0xFFFFFFFF)
-                    words = pa.array([None, *names[1:]], pa.string())
-                    cols = [words.take(pa.array(v.astype(np.int64))) for v in (p >> np.uint64(32), p & low, q >> np.uint64(32), q & low)]
-                    yield pa.RecordBatch.from_arrays([pa.array([kinds[x]] * len(c), pa.string()), *cols, pa.array(c)], ["lang", *WORDS, "c"])
+        return chain.from_iterable(map(lambda b: padded_windows(b, often, cfg), text_slices(batches, 1, cfg.slice_bytes)))
 
     return plain(docs).mapInArrow(run, "lang string, w1 string, w2 string, w3 string, w4 string, c long")
 

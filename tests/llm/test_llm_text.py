@@ -1,12 +1,15 @@
 """Token alignment, collocations and fingerprints against brute force."""
 
+import gc
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -206,6 +209,28 @@ def test_long_texts_are_read_in_parts():
     assert list(collocations.segments("", 5)) == [] and list(collocations.segments("x" * 50, 7)) == ["x" * 50]
 
 
+def test_slices_leave_nothing_behind(spark):
+    """A slice's words go with it, without a garbage collection, and rows leave in small batches."""
+    words = [f"word{i}" for i in range(60_000)]
+    gc.collect()
+    gc.disable()
+    try:
+        tracemalloc.start()
+        for _ in range(4):
+            collocations.numbered([" ".join(words)], ["en"])
+        assert tracemalloc.get_traced_memory()[0] < 1_000_000
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    cfg = collocations.Phrases()
+    b = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([" ".join(words * 2)])], ["lang", "text"])
+    rows = list(collocations.padded_windows(b, np.full(1 << (cfg.sketch_bits - 3), 255, np.uint8), cfg))
+    assert sum(r.num_rows for r in rows) == 60_003 and sum(sum(r.column(5).to_pylist()) for r in rows) == 120_000
+    assert max(r.num_rows for r in [*rows, *collocations.cell_counts(b, cfg)]) <= collocations.STRIDE
+    cells = [len(x) // 2 for r in collocations.cell_counts(b, cfg) for x in r.column(1).to_pylist()]
+    assert sum(cells) <= 4 * 60_000 + 3 and len([k for r in collocations.cell_counts(b, cfg) for k in r.column(0).to_pylist()]) == len(cells)
+
+
 def test_scores_past_64_bits(spark):
     big = 8_000_000_000_000
     rows = [("en", 2, "a b", big), ("en", 1, "a", big), ("en", 1, "b", big + 1), ("en", 0, "", 3 * big)]

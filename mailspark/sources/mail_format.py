@@ -16,11 +16,16 @@ U+FFFD. A missing folder has no rows.
 
 from __future__ import annotations
 
+import heapq
+import io
 import json
 import logging
+import os
 import posixpath
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, islice, tee
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -35,6 +40,8 @@ FIELDS = ["doc_id", "file_name", "text"]
 SLICE_FILES, SLICE_BYTES, FILE_BYTES = 20_000, 64 << 20, 4096
 #: Bytes of text in an Arrow batch, about.
 BATCH_BYTES = 4 << 20
+#: Names that a stream sorts in memory, and sorted files of names that it merges, at most.
+RUN_NAMES, MOST_RUNS = 50_000, 64
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str, str]:
@@ -48,17 +55,90 @@ def opened(path: str) -> tuple[pafs.FileSystem, str, str]:
     return found, inner.rstrip("/"), path[: len(path.rstrip("/")) - len(inner.rstrip("/"))]
 
 
-def listing(path: str) -> list[tuple[str, int]]:
-    """``(name, bytes)`` of the folder's mails by name."""
+def text_files(system: pafs.FileSystem, inner: str) -> Iterator[tuple[str, int]]:
+    """``(name, bytes)`` of a folder's ``*.txt`` files, one at a time; file systems that are not local hand out whole
+    listings alone."""
+    if not isinstance(system, pafs.LocalFileSystem):
+        for i in system.get_file_info(pafs.FileSelector(inner)):
+            if i.type == pafs.FileType.File and i.base_name.endswith(".txt"):
+                yield i.base_name, i.size
+        return
+    with os.scandir(inner or "/") as entries:
+        for e in entries:
+            try:
+                if e.name.endswith(".txt") and e.is_file():
+                    yield e.name, e.stat().st_size
+            except FileNotFoundError:  # gone since
+                continue
+
+
+def scan(path: str) -> Iterator[tuple[str, int]]:
+    """``(name, bytes)`` of the folder's mails in any order."""
     system, inner, _ = opened(path)
     if system.get_file_info(inner).type != pafs.FileType.Directory:
         log.warning("mail folder %s does not exist or is not a directory: no rows", path)
-        return []
-    files = [i for i in system.get_file_info(pafs.FileSelector(inner)) if i.type == pafs.FileType.File and i.base_name.endswith(".txt")]
-    shown = [(i.base_name, i.size) for i in files if not i.base_name.startswith(("_", "."))]
-    if len(shown) < len(files):
-        log.warning("mail folder %s: %d files are hidden by their names and not read", path, len(files) - len(shown))
-    return sorted(shown)
+        return
+    hidden = 0
+    for name, size in text_files(system, inner):
+        if name.startswith(("_", ".")):
+            hidden += 1
+        else:
+            yield name, size
+    if hidden:
+        log.warning("mail folder %s: %d files are hidden by their names and not read", path, hidden)
+
+
+def listing(path: str) -> list[tuple[str, int]]:
+    """``(name, bytes)`` of the folder's mails by name."""
+    return sorted(scan(path))
+
+
+class Names:
+    """``(name, bytes)`` rows in sorted files that have no names themselves and go with the process, so that memory does not
+    grow with the rows."""
+
+    def __init__(self):
+        self.runs: list = []
+
+    def add(self, rows: Iterable[tuple[str, int]]) -> None:
+        """Adds sorted rows; not while rows are being read."""
+        if len(self.runs) >= MOST_RUNS:
+            merged = self.written(self)
+            self.runs = [merged]
+        self.runs.append(self.written(rows))
+
+    def add_unsorted(self, rows: Iterator[tuple[str, int]]) -> None:
+        while some := sorted(islice(rows, RUN_NAMES)):
+            self.add(some)
+
+    @staticmethod
+    def written(rows: Iterable[tuple[str, int]]):
+        run = tempfile.TemporaryFile("w+", encoding="ascii", prefix="mailspark-names-")
+        run.writelines(line(row) for row in rows)
+        return run
+
+    @staticmethod
+    def read(run) -> Iterator[tuple[str, int]]:
+        run.seek(0)
+        return map(tuple, map(json.loads, run))
+
+    def __iter__(self) -> Iterator[tuple[str, int]]:
+        return heapq.merge(*map(self.read, self.runs))
+
+
+def line(row: tuple[str, int]) -> str:
+    return json.dumps(row) + "\n"
+
+
+def unseen(rows: Iterable[tuple[str, int]], seen: Iterable[tuple[str, int]]) -> Iterator[tuple[str, int]]:
+    """The rows whose names ``seen`` doesn't have; both by name."""
+    seen = iter(seen)
+    last = next(seen, None)
+    for row in rows:
+        while last is not None and last[0] < row[0]:
+            last = next(seen, None)
+        if last is None or last[0] != row[0]:
+            yield row
 
 
 @dataclass
@@ -66,20 +146,29 @@ class Slice(InputPartition):
     names: list[str]
 
 
+def begins(sizes: Iterable[int], most_files: int, most_bytes: int) -> Iterator[bool]:
+    """For each file's bytes whether it begins a slice of bounded numbers of files and bytes."""
+    n, total = 0, most_bytes
+    for size in sizes:
+        new = total >= most_bytes or n >= most_files
+        if new:
+            n = total = 0
+        n += 1
+        total += max(size, FILE_BYTES)
+        yield new
+
+
 def slices(files: list[tuple[str, int]], most_files: int = SLICE_FILES, most_bytes: int = SLICE_BYTES) -> list[Slice]:
     """The listing in slices of bounded numbers of files and bytes."""
     out: list[Slice] = []
-    size = most_bytes
-    for name, n in files:
-        if size >= most_bytes or len(out[-1].names) >= most_files:
+    for (name, _), new in zip(files, begins((n for _, n in files), most_files, most_bytes)):
+        if new:
             out.append(Slice([]))
-            size = 0
         out[-1].names.append(name)
-        size += max(n, FILE_BYTES)
     return out or [Slice([])]
 
 
-def read_slice(path: str, part: Slice) -> Iterator[pa.RecordBatch]:
+def read_slice(path: str, part: Slice | LogSlice) -> Iterator[pa.RecordBatch]:
     """The rows of a slice. A file that has gone since the listing has none."""
     system, inner, front = opened(path)
     rows: list[tuple[str, str, str]] = []
@@ -116,31 +205,73 @@ class MailReader(DataSourceReader):
         return read_slice(self.path, partition)
 
 
+class FileLog:
+    """Entries 1, 2, ... of ``(name, bytes)`` rows by name in a folder, a row a line. Entries of an older form are one list."""
+
+    def __init__(self, path: str):
+        self.system, self.folder, _ = opened(path)
+
+    def path(self, n: int) -> str:
+        return f"{self.folder}/{n:012d}.json"
+
+    def has(self, n: int) -> bool:
+        return self.system.get_file_info(self.path(n)).type == pafs.FileType.File
+
+    def rows(self, n: int, lo: int = 0, hi: int | None = None) -> Iterator[tuple[str, int, int, int]]:
+        """``(name, bytes, lo, hi)`` of an entry's rows from place ``lo`` to ``hi`` and their places: bytes of the file, numbers
+        of rows in the older form."""
+        with self.system.open_input_file(self.path(n)) as f, io.BufferedReader(f, 1 << 16) as r:
+            if r.read(2) == b"[[":
+                r.seek(0)
+                for i, (name, size) in enumerate(json.loads(r.read())[lo:hi], lo):
+                    yield name, size, i, i + 1
+                return
+            r.seek(lo)
+            while (hi is None or lo < hi) and (text := r.readline()):
+                yield *json.loads(text), lo, lo + len(text)
+                lo += len(text)
+
+    def write(self, n: int, rows: Iterable[tuple[str, int]]) -> None:
+        """An entry is there under its name only when it is whole."""
+        with self.system.open_output_stream(self.path(n) + ".part") as f:
+            for row in rows:
+                f.write(line(row).encode())
+        self.system.move(self.path(n) + ".part", self.path(n))
+
+
+@dataclass
+class LogSlice(InputPartition):
+    """Rows of a log's entries: ``(entry, lo, hi)`` each."""
+
+    log: str
+    parts: list[tuple[int, int, int]]
+
+    @property
+    def names(self) -> list[str]:
+        entries = FileLog(self.log)
+        return [row[0] for part in self.parts for row in entries.rows(*part)]
+
+
 class MailStream(DataSourceStreamReader):
     """Offset n stands for the first n entries of a log of file lists in the
     folder ``log``. Files that no entry names yet become the next one, so a
     batch that is planned again, also after a restart, has the same files,
-    whatever has arrived since and in whatever order of names and times."""
+    whatever has arrived since and in whatever order of names and times.
+    Slices are places in the log, and names are compared as sorted rows, so
+    the driver holds neither the listing nor the names that were seen."""
 
     def __init__(self, path: str, log_path: str, most_files: int):
-        self.path, self.most_files = path, most_files
-        self.system, self.log, _ = opened(log_path)
-        self.seen: set[str] | None = None
+        self.path, self.log_path, self.most_files = path, log_path, most_files
+        self.entries = FileLog(log_path)
+        self.seen: Names | None = None
         self.n = 0
 
-    def entry(self, n: int) -> str:
-        return f"{self.log}/{n:012d}.json"
-
-    def read_entry(self, n: int) -> list[tuple[str, int]]:
-        with self.system.open_input_stream(self.entry(n)) as f:
-            return [tuple(x) for x in json.loads(f.read())]
-
     def load(self) -> None:
-        self.system.create_dir(self.log, recursive=True)
-        self.seen, self.n = set(), 0
-        while self.system.get_file_info(self.entry(self.n + 1)).type == pafs.FileType.File:
+        self.entries.system.create_dir(self.entries.folder, recursive=True)
+        self.seen, self.n = Names(), 0
+        while self.entries.has(self.n + 1):
             self.n += 1
-            self.seen |= {name for name, _ in self.read_entry(self.n)}
+            self.seen.add(row[:2] for row in self.entries.rows(self.n))
 
     def initialOffset(self) -> dict:  # noqa: N802 - the API's name
         return {"n": 0}
@@ -148,21 +279,29 @@ class MailStream(DataSourceStreamReader):
     def latestOffset(self) -> dict:  # noqa: N802
         if self.seen is None:
             self.load()
-        new = [x for x in listing(self.path) if x[0] not in self.seen]
-        if new:
-            # an entry is there under its name only when it is whole
-            entry = self.entry(self.n + 1)
-            with self.system.open_output_stream(entry + ".part") as f:
-                f.write(json.dumps(new).encode())
-            self.system.move(entry + ".part", entry)
+        listed = Names()
+        listed.add_unsorted(scan(self.path))
+        new = unseen(listed, self.seen)
+        if (first := next(new, None)) is not None:
+            self.entries.write(self.n + 1, chain([first], new))
             self.n += 1
-            self.seen |= {name for name, _ in new}
+            self.seen.add(row[:2] for row in self.entries.rows(self.n))
         return {"n": self.n}
 
-    def partitions(self, start: dict, end: dict) -> list[Slice]:
-        return slices([x for n in range(start["n"] + 1, end["n"] + 1) for x in self.read_entry(n)], self.most_files)
-
-    def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
+    def partitions(self, start: dict, end: dict) -> list[LogSlice]:
+        rows, same = tee((n, *row) for n in range(start["n"] + 1, end["n"] + 1) for row in self.entries.rows(n))
+        out: list[LogSlice] = []
+        for (n, _, _, lo, hi), new in zip(rows, begins((row[2] for row in same), self.most_files, SLICE_BYTES)):
+            if new:
+                out.append(LogSlice(self.log_path, []))
+            parts = out[-1].parts
+            if parts and parts[-1][0] == n:
+                parts[-1] = (n, parts[-1][1], hi)
+            else:
+                parts.append((n, lo, hi))
+        return out or [LogSlice(self.log_path, [])]
+
+    def read(self, partition: LogSlice) -> Iterator[pa.RecordBatch]:
         return read_slice(self.path, partition)
 
 

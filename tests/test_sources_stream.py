@@ -1,11 +1,15 @@
 """Folder source (FIXTURES 4), sinks, and stream = batch."""
 
+import json
 import os
+import pickle
 import tempfile
+import tracemalloc
 
 from mailspark.config import VectorizerConfig
 from mailspark.plans.score import score_folders
 from mailspark.plans.train import fit_text_model, score_docs
+from mailspark.sources import mail_format
 from mailspark.sources.folders import read_labelled_folders, read_mail_folder, write_mail_folder
 from mailspark.sources.mail_format import MailStream, slices
 from mailspark.sources.sinks import write_prediction_lines
@@ -128,3 +132,47 @@ def test_stream_offsets_are_replayed(spark):
     names = lambda r, a, b: [n for s in r.partitions({"n": a}, {"n": b}) for n in s.names]
     assert names(again, 0, 1) == ["0006.2003-12-18.GP.spam.txt", "empty.txt"]
     assert again.latestOffset() == {"n": 2} and names(again, 1, 2) == ["0.txt"] and names(again, 2, 2) == []
+
+
+def test_stream_keeps_no_names_in_memory(tmp_path, monkeypatch):
+    """Listing, comparing and planning 40,000 mails takes less memory than their names would."""
+    monkeypatch.setattr(mail_format, "RUN_NAMES", 500, raising=False)
+    d, names = tmp_path / "in", [f"{i * 7919 % 40_000:05d}.2003-12-18.sender.spam.txt" for i in range(40_000)]
+    d.mkdir()
+    for n in names[:30_000]:
+        (d / n).touch()
+    made = MailStream(str(d), str(tmp_path / "log"), 1000)
+    made.latestOffset(), made.partitions({"n": 0}, {"n": 1})  # imports and caches
+    for n in names[30_000:]:
+        (d / n).touch()
+    tracemalloc.start()
+    r = MailStream(str(d), str(tmp_path / "log"), 1000)
+    assert r.latestOffset() == {"n": 2}
+    parts = r.partitions({"n": 0}, {"n": 2})
+    assert tracemalloc.get_traced_memory()[1] < 2_000_000
+    tracemalloc.stop()
+    assert len(pickle.dumps(parts)) < 10_000 and all(len(p.names) == 1000 for p in parts)
+    assert [n for p in parts for n in p.names] == sorted(names[:30_000]) + sorted(names[30_000:])
+
+
+def test_stream_goes_on_from_an_older_log(tmp_path):
+    """Entries used to be one list each; odd names come through."""
+    d, log = tmp_path / "in", tmp_path / "log"
+    d.mkdir(), log.mkdir()
+    for n in ("a.txt", "b\nc.txt", "ñ\"[[.txt", "z.txt"):
+        (d / n).write_text(n)
+    (log / "000000000001.json").write_text(json.dumps([["b\nc.txt", 7], ["z.txt", 5]]))
+    r = MailStream(str(d), str(log), 1)
+    assert r.latestOffset() == {"n": 2} == MailStream(str(d), str(log), 1).latestOffset()
+    assert [s.names for s in r.partitions({"n": 0}, {"n": 2})] == [["b\nc.txt"], ["z.txt"], ["a.txt"], ["ñ\"[[.txt"]]
+    assert MailStream(str(d), str(log), 3).partitions({"n": 0}, {"n": 2})[0].names == ["b\nc.txt", "z.txt", "a.txt"]
+    assert [x for s in r.partitions({"n": 0}, {"n": 2}) for b in r.read(s) for x in b.column(2).to_pylist()] == ["b\nc.txt", "z.txt", "a.txt", "ñ\"[[.txt"]
+
+
+def test_many_runs_of_names_are_merged(monkeypatch):
+    monkeypatch.setattr(mail_format, "MOST_RUNS", 3)
+    monkeypatch.setattr(mail_format, "RUN_NAMES", 2)
+    names = mail_format.Names()
+    names.add_unsorted(iter([(f"{i * 7 % 23:02d}", i) for i in range(23)]))
+    assert [x[0] for x in names] == [f"{i:02d}" for i in range(23)] == [x[0] for x in names] and len(names.runs) <= 3
+    assert list(mail_format.unseen([("a", 1), ("b", 2), ("d", 3)], [("a", 9), ("c", 1)])) == [("b", 2), ("d", 3)]
